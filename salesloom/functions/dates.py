@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from salesloom.functions.text import normalize_scalar_text, strip
+from salesloom.functions.text import fold, strip
 
 # Spanish month names and their numbers.
 SPANISH_MONTHS = {
@@ -36,8 +36,8 @@ LONG_FORM = f"^([0-9]{{1,2}}) de ({MONTH_WORDS}) de ([0-9]{{4}})(?: ([0-9]{{1,2}
 SHORT_FORM = f"^([0-9]{{1,2}}) de ({MONTH_WORDS})(?: \\| ([0-9]{{1,2}}):([0-9]{{2}}))?\\z"
 
 CLOCK = (
-    "(?:[T ]+([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2})(?:\\.([0-9]{1,9}))?)?)?"
-    " ?([aApP][mM])?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\\z"
+    "(?:[t ]+([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2})(?:\\.([0-9]{1,9}))?)?)?"
+    " ?([ap]m)?(z|[+-][0-9]{2}:?[0-9]{2})?)?\\z"
 )
 YEAR_FIRST = "^([0-9]{4})([-/.])([0-9]{1,2})\\2([0-9]{1,2})" + CLOCK
 YEAR_LAST = "^([0-9]{1,2})([-/.])([0-9]{1,2})\\2([0-9]{4}|[0-9]{1,2})" + CLOCK
@@ -64,6 +64,13 @@ def month_number(word: Column) -> Column:
     return F.try_element_at(months, word)
 
 
+def date_text(value: Column) -> Column:
+    """Comparable form of a date: trimmed, lower case, no accents, single spaces."""
+    return F.regexp_replace(
+        fold(F.lower(strip(value))), "[\\s\\p{Z}\\x1c-\\x1f\\x85]+", " "
+    )
+
+
 def _int(c: Column) -> Column:
     return c.try_cast("int")
 
@@ -109,16 +116,6 @@ def _short_stamp(text: Column, year: Column) -> Column:
     )
 
 
-def parse_long(text: Column) -> Column:
-    """"12 de abril de 2026 17:10 hs." over normalised text; null when it does not fit."""
-    return F.when(text.rlike(LONG_FORM), _in_range(_long_stamp(text)))
-
-
-def parse_short(text: Column, year: Column) -> Column:
-    """"3 de mayo | 09:05" with the year supplied."""
-    return F.when(text.rlike(SHORT_FORM), _in_range(_short_stamp(text, year)))
-
-
 def _clock(text: Column, pattern: str, first: int) -> tuple[Column, Column, Column]:
     hour = _or_zero(_group(text, pattern, first))
     minute = _or_zero(_group(text, pattern, first + 1))
@@ -127,7 +124,7 @@ def _clock(text: Column, pattern: str, first: int) -> tuple[Column, Column, Colu
         F.lit("."),
         F.rpad(F.substring(_group(text, pattern, first + 3), 1, 6), 6, "0"),
     ).try_cast("decimal(8,6)")
-    half = F.lower(_group(text, pattern, first + 4))
+    half = _group(text, pattern, first + 4)
     hour24 = (
         F.when(half == "", hour)
         .when((hour > 12) | (hour < 1), F.lit(None).cast("int"))
@@ -141,7 +138,7 @@ def _to_utc(stamp: Column, zone: Column) -> Column:
     minutes = _or_zero(F.substring(digits, 1, 2)) * 60 + _or_zero(F.substring(digits, 3, 2))
     signed = F.when(F.startswith(zone, F.lit("-")), -minutes).otherwise(minutes)
     shifted = stamp - F.make_dt_interval(mins=signed)
-    return F.when(zone.isin("", "Z", "z"), stamp).otherwise(shifted)
+    return F.when(zone.isin("", "z"), stamp).otherwise(shifted)
 
 
 def _full_year(year: Column, run_year: Column) -> Column:
@@ -158,14 +155,12 @@ def _english_month(word: Column) -> Column:
     return F.array_position(names, F.substring(word, 1, 3)).cast("int")
 
 
-def parse_generic(value: Column, run_year: Column, dayfirst: bool = False) -> Column:
-    """Generic layouts: ISO, slashed / dashed / dotted, compact, English month names.
+def parse_generic(text: Column, run_year: Column, dayfirst: bool = False) -> Column:
+    """Generic layouts over :func:`date_text`: ISO, slashed / dashed / dotted, compact, English month names.
 
     All-numeric dates are month first unless that is impossible (``dayfirst``
     swaps the preference).  Offsets are resolved to UTC.
     """
-    text = strip(value)
-    low = F.lower(text)
 
     def year_first() -> Column:
         part = lambda i: _int(_group(text, YEAR_FIRST, i))
@@ -208,24 +203,24 @@ def parse_generic(value: Column, run_year: Column, dayfirst: bool = False) -> Co
         )
         .when(text.rlike(MONTH_YEAR), _make(*numbers(MONTH_YEAR, 2, 1), one))
         .when(
-            low.rlike(DAY_NAME_YEAR),
+            text.rlike(DAY_NAME_YEAR),
             _make(
-                _full_year(_int(_group(low, DAY_NAME_YEAR, 3)), run_year),
-                _english_month(_group(low, DAY_NAME_YEAR, 2)),
-                _int(_group(low, DAY_NAME_YEAR, 1)),
+                _full_year(_int(_group(text, DAY_NAME_YEAR, 3)), run_year),
+                _english_month(_group(text, DAY_NAME_YEAR, 2)),
+                _int(_group(text, DAY_NAME_YEAR, 1)),
             ),
         )
         .when(
-            low.rlike(NAME_DAY_YEAR),
+            text.rlike(NAME_DAY_YEAR),
             _make(
-                _int(_group(low, NAME_DAY_YEAR, 3)),
-                _english_month(_group(low, NAME_DAY_YEAR, 1)),
-                _int(_group(low, NAME_DAY_YEAR, 2)),
+                _int(_group(text, NAME_DAY_YEAR, 3)),
+                _english_month(_group(text, NAME_DAY_YEAR, 1)),
+                _int(_group(text, NAME_DAY_YEAR, 2)),
             ),
         )
         .when(
-            low.rlike(NAME_YEAR),
-            _make(_int(_group(low, NAME_YEAR, 2)), _english_month(_group(low, NAME_YEAR, 1)), one),
+            text.rlike(NAME_YEAR),
+            _make(_int(_group(text, NAME_YEAR, 2)), _english_month(_group(text, NAME_YEAR, 1)), one),
         )
     )
     return _in_range(parsed)
@@ -262,13 +257,27 @@ def parse_datetime(
     ``reference_year`` supplies the year of the short form, falling back to
     ``run_year`` (default: the current year).
     """
+    return stamp_of(
+        date_text(value), value, kind, reference_year, run_year, dayfirst, excel_serial
+    )
+
+
+def stamp_of(
+    text: Column,
+    value: Column,
+    kind: Column | None = None,
+    reference_year: Column | None = None,
+    run_year: int | None = None,
+    dayfirst: bool = False,
+    excel_serial: bool = False,
+) -> Column:
+    """:func:`parse_datetime` when the value's :func:`date_text` is at hand."""
     this_year = F.lit(run_year) if run_year is not None else F.year(F.current_date())
     year = this_year if reference_year is None else F.coalesce(reference_year, this_year)
-    text = normalize_scalar_text(value)
     written = (
         F.when(text.rlike(LONG_FORM), _in_range(_long_stamp(text)))
         .when(text.rlike(SHORT_FORM), _in_range(_short_stamp(text, year)))
-        .otherwise(parse_generic(value, this_year, dayfirst))
+        .otherwise(parse_generic(text, this_year, dayfirst))
     )
     if kind is None:
         return written
@@ -279,22 +288,15 @@ def parse_datetime(
     )
 
 
-def date_error(
-    value: Column,
-    kind: Column | None = None,
-    reference_year: Column | None = None,
-    run_year: int | None = None,
-) -> Column:
+def is_spanish_date(text: Column) -> Column:
+    """True for :func:`date_text` in one of the two Spanish layouts, possible day or not."""
+    return text.rlike(LONG_FORM) | text.rlike(SHORT_FORM)
+
+
+def date_error(value: Column, kind: Column | None = None, **options) -> Column:
     """True for a Spanish date that names an impossible day or time ("31 de febrero")."""
-    this_year = F.lit(run_year) if run_year is not None else F.year(F.current_date())
-    year = this_year if reference_year is None else F.coalesce(reference_year, this_year)
-    text = normalize_scalar_text(value)
-    bad = F.coalesce(
-        F.when(text.rlike(LONG_FORM), _in_range(_long_stamp(text)).isNull()).when(
-            text.rlike(SHORT_FORM), _in_range(_short_stamp(text, year)).isNull()
-        ),
-        F.lit(False),
-    )
+    unread = parse_datetime(value, kind, **options).isNull()
+    bad = F.coalesce(unread & is_spanish_date(date_text(value)), F.lit(False))
     return bad if kind is None else F.coalesce(kind == "str", F.lit(False)) & bad
 
 

@@ -8,6 +8,7 @@ a non-ASCII character.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from functools import lru_cache
@@ -15,6 +16,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+PAIR_END, PAIR_MIDDLE = "\x01", "\x02"
 HANGUL = range(0xAC00, 0xD7A4)
 SURROGATES = range(0xD800, 0xE000)
 
@@ -69,23 +71,35 @@ def _wide_class() -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
 
 
+def normalize_value(value: str) -> str:
+    """:func:`normalize_text` for one configuration string on the driver."""
+    folded = unicodedata.normalize("NFKD", value.strip().lower())
+    kept = "".join(c for c in folded if not unicodedata.combining(c))
+    return re.sub("[^a-z0-9#()/%]+", " ", kept).strip()
+
+
 def strip(c: Column) -> Column:
     """Trim Unicode white space on both sides."""
     return F.btrim(c, F.lit(whitespace()))
 
 
+def fold(c: Column) -> Column:
+    """:func:`strip_accents` for characters that decompose into a single one."""
+    source, target, _ = _fold_tables()
+    return F.when(
+        F.octet_length(c) > F.char_length(c), F.translate(c, source, target)
+    ).otherwise(c)
+
+
 def strip_accents(c: Column) -> Column:
     """Compatibility-decompose and drop combining marks."""
-    source, target, wide = _fold_tables()
-    pairs = F.create_map(*[F.lit(x) for item in wide.items() for x in item])
+    wide = _fold_tables()[2]
+    packed = PAIR_END.join(k + PAIR_MIDDLE + v for k, v in wide.items())
+    pairs = F.str_to_map(F.lit(packed), F.lit(PAIR_END), F.lit(PAIR_MIDDLE))
     widened = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), ""
     )
-    spread = F.when(c.rlike(_wide_class()), widened).otherwise(c)
-    return F.when(
-        F.octet_length(c) > F.char_length(c),
-        F.translate(spread, source, target),
-    ).otherwise(c)
+    return fold(F.when(c.rlike(_wide_class()), widened).otherwise(c))
 
 
 def normalize_text(c: Column) -> Column:
@@ -98,7 +112,7 @@ def normalize_text(c: Column) -> Column:
 
 
 def normalize_scalar_text(c: Column) -> Column:
-    """Like ``normalize_text`` but keeps punctuation; used before date matching."""
+    """Trimmed, lower case, no accents, single spaces; punctuation stays."""
     folded = strip_accents(F.lower(strip(c)))
     return F.regexp_replace(folded, "[\\s\\p{Z}\\x1c-\\x1f\\x85]+", " ")
 
