@@ -31,28 +31,37 @@ SPANISH_MONTHS = {
     "diciembre": 12,
 }
 
-MONTH_WORDS = "|".join(SPANISH_MONTHS)
-LONG_FORM = f"^([0-9]{{1,2}}) de ({MONTH_WORDS}) de ([0-9]{{4}})(?: ([0-9]{{1,2}}):([0-9]{{2}}) ?hs\\.?)?\\z"
-SHORT_FORM = f"^([0-9]{{1,2}}) de ({MONTH_WORDS})(?: \\| ([0-9]{{1,2}}):([0-9]{{2}}))?\\z"
-
-CLOCK = (
-    "(?:[t ]+([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2})(?:\\.([0-9]{1,9}))?)?)?"
-    " ?([ap]m)?(z|[+-][0-9]{2}:?[0-9]{2})?)?\\z"
-)
-YEAR_FIRST = "^([0-9]{4})([-/.])([0-9]{1,2})\\2([0-9]{1,2})" + CLOCK
-YEAR_LAST = "^([0-9]{1,2})([-/.])([0-9]{1,2})\\2([0-9]{4}|[0-9]{1,2})" + CLOCK
-COMPACT = "^([0-9]{4})([0-9]{2})([0-9]{2})\\z"
-YEAR_MONTH = "^([0-9]{4})(?:-([0-9]{1,2}))?\\z"
-MONTH_YEAR = "^([0-9]{1,2})/([0-9]{4})\\z"
 # English month abbreviations accepted by the generic fallback.
 ENGLISH_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+MONTH_WORD = "(" + "|".join(SPANISH_MONTHS) + ")"
 ENGLISH_WORD = (
     "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
     "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
 )
-DAY_NAME_YEAR = "^([0-9]{1,2})[ -]" + ENGLISH_WORD + "[ -]([0-9]{4}|[0-9]{2})\\z"
-NAME_DAY_YEAR = "^" + ENGLISH_WORD + " ([0-9]{1,2}),? ([0-9]{4})\\z"
-NAME_YEAR = "^" + ENGLISH_WORD + " ([0-9]{4})\\z"
+CLOCK = (
+    "(?:[t ]+([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2})(?:\\.([0-9]{1,9}))?)?)?"
+    " ?([ap]m)?(z|[+-][0-9]{2}:?[0-9]{2})?)?\\z"
+)
+LONG, SHORT, ORDERED, GUESSED = "long", "short", "ymd", "any"
+# Layout tag, pattern, and where year | month | day | hour | minute | second |
+# fraction | am-pm | zone sit in it.  The first pattern that fits decides.
+LAYOUTS = (
+    (LONG, f"^([0-9]{{1,2}}) de {MONTH_WORD} de ([0-9]{{4}})(?: ([0-9]{{1,2}}):([0-9]{{2}}) ?hs\\.?)?\\z",
+     "$3|$2|$1|$4|$5||||"),
+    (SHORT, f"^([0-9]{{1,2}}) de {MONTH_WORD}(?: \\| ([0-9]{{1,2}}):([0-9]{{2}}))?\\z",
+     "|$2|$1|$3|$4||||"),
+    (ORDERED, "^([0-9]{4})([-/.])([0-9]{1,2})\\2([0-9]{1,2})" + CLOCK,
+     "$1|$3|$4|$5|$6|$7|$8|$9|$10"),
+    (GUESSED, "^([0-9]{1,2})([-/.])([0-9]{1,2})\\2([0-9]{4}|[0-9]{1,2})" + CLOCK,
+     "$1|$3|$4|$5|$6|$7|$8|$9|$10"),
+    (ORDERED, "^([0-9]{4})([0-9]{2})([0-9]{2})\\z", "$1|$2|$3||||||"),
+    (ORDERED, "^([0-9]{4})(?:-([0-9]{1,2}))?\\z", "$1|$2|1||||||"),
+    (ORDERED, "^([0-9]{1,2})/([0-9]{4})\\z", "$2|$1|1||||||"),
+    (ORDERED, f"^([0-9]{{1,2}})[ -]{ENGLISH_WORD}[ -]([0-9]{{4}}|[0-9]{{2}})\\z", "$3|$2|$1||||||"),
+    (ORDERED, f"^{ENGLISH_WORD} ([0-9]{{1,2}}),? ([0-9]{{4}})\\z", "$3|$1|$2||||||"),
+    (ORDERED, f"^{ENGLISH_WORD} ([0-9]{{4}})\\z", "$2|$1|1||||||"),
+)
 
 EARLIEST = dt.datetime(1677, 9, 21, 0, 12, 43, 145225)
 LATEST = dt.datetime(2262, 4, 11, 23, 47, 16, 854775)
@@ -71,66 +80,60 @@ def date_text(value: Column) -> Column:
     )
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
+def date_parts(text: Column) -> Column:
+    """:func:`date_text` taken apart: [layout tag, year, month, day, hour, minute, second,
+    fraction, am-pm, zone] as texts; null when no layout fits."""
+    chosen = None
+    for tag, pattern, order in LAYOUTS:
+        rewritten = F.regexp_replace(text, pattern, f"{tag}|{order}")
+        fits = text.rlike(pattern)
+        chosen = F.when(fits, rewritten) if chosen is None else chosen.when(fits, rewritten)
+    return F.split(chosen, "\\|")
 
 
-def _group(text: Column, pattern: str, index: int) -> Column:
-    return F.regexp_extract(text, pattern, index)
+def is_spanish_date(parts: Column) -> Column:
+    """True for :func:`date_parts` of the two Spanish layouts, possible day or not."""
+    return F.coalesce(F.get(parts, F.lit(0)).isin(LONG, SHORT), F.lit(False))
 
 
-def _make(year, month, day, hour=None, minute=None, second=None) -> Column:
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(
-        year,
-        month,
-        day,
-        zero if hour is None else hour,
-        zero if minute is None else minute,
-        (zero if second is None else second).cast("decimal(8,6)"),
-    )
+def _int(c: Column) -> Column:
+    return c.try_cast("int")
 
 
-def _in_range(stamp: Column) -> Column:
-    return F.when(
-        stamp.between(F.lit(EARLIEST).cast("timestamp_ntz"), F.lit(LATEST).cast("timestamp_ntz")),
-        stamp,
-    )
+def _or_zero(text: Column) -> Column:
+    return F.coalesce(_int(text), F.lit(0))
 
 
-def _or_zero(text: Column) -> Column:
-    return F.coalesce(_int(F.nullif(text, F.lit(""))), F.lit(0))
+def _in_range(stamp: Column) -> Column:
+    low, high = (F.lit(x).cast("timestamp_ntz") for x in (EARLIEST, LATEST))
+    return F.when((stamp >= low) & (stamp <= high), stamp)
 
 
-def _long_stamp(text: Column) -> Column:
-    part = lambda i: _group(text, LONG_FORM, i)
-    return _make(
-        _int(part(3)), month_number(part(2)), _int(part(1)), _or_zero(part(4)), _or_zero(part(5))
+def _full_year(year: Column, run_year: Column) -> Column:
+    """Two-digit years land within fifty years of the run year."""
+    near = year + (run_year - run_year % 100)
+    moved = (
+        F.when(near >= run_year + 50, near - 100).when(near < run_year - 50, near + 100).otherwise(near)
     )
+    return F.when(year < 100, moved).otherwise(year)
 
 
-def _short_stamp(text: Column, year: Column) -> Column:
-    part = lambda i: _group(text, SHORT_FORM, i)
-    return _make(
-        year, month_number(part(2)), _int(part(1)), _or_zero(part(3)), _or_zero(part(4))
-    )
+def _month(text: Column) -> Column:
+    """Month number from digits, a Spanish or an English name; an absent month is January."""
+    names = F.array(*[F.lit(m) for m in ENGLISH_MONTHS])
+    english = F.nullif(F.array_position(names, F.substring(text, 1, 3)).cast("int"), F.lit(0))
+    return F.when(text == "", 1).otherwise(F.coalesce(_int(text), month_number(text), english))
 
 
-def _clock(text: Column, pattern: str, first: int) -> tuple[Column, Column, Column]:
-    hour = _or_zero(_group(text, pattern, first))
-    minute = _or_zero(_group(text, pattern, first + 1))
+def _clock(parts: Column) -> tuple[Column, Column, Column]:
+    hour, half = _or_zero(parts[4]), parts[8]
+    hour24 = F.when(half == "", hour).when(
+        hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0)
+    )
     second = F.concat(
-        F.lpad(_group(text, pattern, first + 2), 2, "0"),
-        F.lit("."),
-        F.rpad(F.substring(_group(text, pattern, first + 3), 1, 6), 6, "0"),
+        F.lpad(parts[6], 2, "0"), F.lit("."), F.rpad(F.substring(parts[7], 1, 6), 6, "0")
     ).try_cast("decimal(8,6)")
-    half = _group(text, pattern, first + 4)
-    hour24 = (
-        F.when(half == "", hour)
-        .when((hour > 12) | (hour < 1), F.lit(None).cast("int"))
-        .otherwise(hour % 12 + F.when(half == "pm", 12).otherwise(0))
-    )
-    return hour24, minute, second
+    return hour24, _or_zero(parts[5]), second
 
 
 def _to_utc(stamp: Column, zone: Column) -> Column:
@@ -141,89 +144,18 @@ def _to_utc(stamp: Column, zone: Column) -> Column:
     return F.when(zone.isin("", "z"), stamp).otherwise(shifted)
 
 
-def _full_year(year: Column, run_year: Column) -> Column:
-    """Two-digit years land within fifty years of the run year."""
-    near = year + (run_year - run_year % 100)
-    moved = (
-        F.when(near >= run_year + 50, near - 100).when(near < run_year - 50, near + 100).otherwise(near)
-    )
-    return F.when(year < 100, moved).otherwise(year)
-
-
-def _english_month(word: Column) -> Column:
-    names = F.array(*[F.lit(m) for m in ENGLISH_MONTHS])
-    return F.array_position(names, F.substring(word, 1, 3)).cast("int")
-
-
-def parse_generic(text: Column, run_year: Column, dayfirst: bool = False) -> Column:
-    """Generic layouts over :func:`date_text`: ISO, slashed / dashed / dotted, compact, English month names.
-
-    All-numeric dates are month first unless that is impossible (``dayfirst``
-    swaps the preference).  Offsets are resolved to UTC.
-    """
-
-    def year_first() -> Column:
-        part = lambda i: _int(_group(text, YEAR_FIRST, i))
-        made = _make(part(1), part(3), part(4), *_clock(text, YEAR_FIRST, 5))
-        return _to_utc(made, _group(text, YEAR_FIRST, 10))
-
-    def year_last() -> Column:
-        a, b, c = (_int(_group(text, YEAR_LAST, i)) for i in (1, 3, 4))
-        leading_year = a > 31
-        if dayfirst:
-            month = F.when(b <= 12, b).otherwise(a)
-            day = F.when(b <= 12, a).otherwise(b)
-        else:
-            month = F.when(a <= 12, a).otherwise(b)
-            day = F.when(a <= 12, b).otherwise(a)
-        year = _full_year(F.when(leading_year, a).otherwise(c), run_year)
-        made = _make(
-            year,
-            F.when(leading_year, b).otherwise(month),
-            F.when(leading_year, c).otherwise(day),
-            *_clock(text, YEAR_LAST, 5),
-        )
-        return _to_utc(made, _group(text, YEAR_LAST, 10))
-
-    def numbers(pattern: str, *order: int) -> list[Column]:
-        return [_int(_group(text, pattern, i)) for i in order]
-
-    one = F.lit(1)
-    parsed = (
-        F.when(text.rlike(YEAR_FIRST), year_first())
-        .when(text.rlike(YEAR_LAST), year_last())
-        .when(text.rlike(COMPACT), _make(*numbers(COMPACT, 1, 2, 3)))
-        .when(
-            text.rlike(YEAR_MONTH),
-            _make(
-                _int(_group(text, YEAR_MONTH, 1)),
-                F.coalesce(_int(F.nullif(_group(text, YEAR_MONTH, 2), F.lit(""))), one),
-                one,
-            ),
-        )
-        .when(text.rlike(MONTH_YEAR), _make(*numbers(MONTH_YEAR, 2, 1), one))
-        .when(
-            text.rlike(DAY_NAME_YEAR),
-            _make(
-                _full_year(_int(_group(text, DAY_NAME_YEAR, 3)), run_year),
-                _english_month(_group(text, DAY_NAME_YEAR, 2)),
-                _int(_group(text, DAY_NAME_YEAR, 1)),
-            ),
-        )
-        .when(
-            text.rlike(NAME_DAY_YEAR),
-            _make(
-                _int(_group(text, NAME_DAY_YEAR, 3)),
-                _english_month(_group(text, NAME_DAY_YEAR, 1)),
-                _int(_group(text, NAME_DAY_YEAR, 2)),
-            ),
-        )
-        .when(
-            text.rlike(NAME_YEAR),
-            _make(_int(_group(text, NAME_YEAR, 2)), _english_month(_group(text, NAME_YEAR, 1)), one),
-        )
+def _assemble(parts: Column, year: Column, run_year: Column, dayfirst: bool) -> Column:
+    tag, a, b, c = parts[0], _int(parts[1]), _int(parts[2]), _int(parts[3])
+    guessed, year_leads = tag == GUESSED, a > 31
+    swap = (b > 12) if dayfirst else (a <= 12)
+    y = (
+        F.when(tag == SHORT, year)
+        .when(guessed & ~year_leads, _full_year(c, run_year))
+        .otherwise(_full_year(a, run_year))
     )
-    return _in_range(parsed)
+    m = F.when(guessed & ~year_leads, F.when(swap, a).otherwise(b)).otherwise(_month(parts[2]))
+    d = F.when(guessed & ~year_leads, F.when(swap, b).otherwise(a)).otherwise(c)
+    return _in_range(_to_utc(F.try_make_timestamp_ntz(y, m, d, *_clock(parts)), parts[9]))
 
 
 def _from_number(value: Column, excel_serial: bool) -> Column:
@@ -244,26 +176,8 @@ def _from_number(value: Column, excel_serial: bool) -> Column:
     return _in_range(base + F.make_dt_interval(days=days, secs=seconds.cast("decimal(18,6)")))
 
 
-def parse_datetime(
-    value: Column,
-    kind: Column | None = None,
-    reference_year: Column | None = None,
-    run_year: int | None = None,
-    dayfirst: bool = False,
-    excel_serial: bool = False,
-) -> Column:
-    """Any export date to TIMESTAMP_NTZ; null when unreadable.
-
-    ``reference_year`` supplies the year of the short form, falling back to
-    ``run_year`` (default: the current year).
-    """
-    return stamp_of(
-        date_text(value), value, kind, reference_year, run_year, dayfirst, excel_serial
-    )
-
-
 def stamp_of(
-    text: Column,
+    parts: Column,
     value: Column,
     kind: Column | None = None,
     reference_year: Column | None = None,
@@ -271,14 +185,10 @@ def stamp_of(
     dayfirst: bool = False,
     excel_serial: bool = False,
 ) -> Column:
-    """:func:`parse_datetime` when the value's :func:`date_text` is at hand."""
+    """:func:`parse_datetime` when the value's :func:`date_parts` are at hand."""
     this_year = F.lit(run_year) if run_year is not None else F.year(F.current_date())
     year = this_year if reference_year is None else F.coalesce(reference_year, this_year)
-    written = (
-        F.when(text.rlike(LONG_FORM), _in_range(_long_stamp(text)))
-        .when(text.rlike(SHORT_FORM), _in_range(_short_stamp(text, year)))
-        .otherwise(parse_generic(text, this_year, dayfirst))
-    )
+    written = _assemble(parts, year, this_year, dayfirst)
     if kind is None:
         return written
     return (
@@ -288,15 +198,35 @@ def stamp_of(
     )
 
 
-def is_spanish_date(text: Column) -> Column:
-    """True for :func:`date_text` in one of the two Spanish layouts, possible day or not."""
-    return text.rlike(LONG_FORM) | text.rlike(SHORT_FORM)
+def parse_datetime(
+    value: Column,
+    kind: Column | None = None,
+    reference_year: Column | None = None,
+    run_year: int | None = None,
+    dayfirst: bool = False,
+    excel_serial: bool = False,
+) -> Column:
+    """Any export date to TIMESTAMP_NTZ; null when unreadable.
+
+    ``reference_year`` supplies the year of the short form, falling back to
+    ``run_year`` (default: the current year).  All-numeric dates are month first
+    unless that is impossible (``dayfirst`` swaps the preference); offsets are
+    resolved to UTC.  The text is taken apart once per value.
+    """
+    taken_apart = F.array(date_parts(date_text(value)))
+    stamps = F.transform(
+        taken_apart,
+        lambda parts: stamp_of(
+            parts, value, kind, reference_year, run_year, dayfirst, excel_serial
+        ),
+    )
+    return stamps[0]
 
 
 def date_error(value: Column, kind: Column | None = None, **options) -> Column:
     """True for a Spanish date that names an impossible day or time ("31 de febrero")."""
     unread = parse_datetime(value, kind, **options).isNull()
-    bad = F.coalesce(unread & is_spanish_date(date_text(value)), F.lit(False))
+    bad = unread & is_spanish_date(date_parts(date_text(value)))
     return bad if kind is None else F.coalesce(kind == "str", F.lit(False)) & bad
 
 

@@ -27,36 +27,40 @@ class Rules:
     roll_year: bool = False
 
 
-def cell_at(cells: Column, positions: Column, index: int) -> Column:
-    """Cell of the ``index``-th schema column, null when the file lacks it."""
-    return F.get(cells, F.get(positions, F.lit(index)))
+def _names(columns: list[str]) -> Column:
+    return F.array(*[F.lit(c) for c in columns]).cast("array<string>")
 
 
-def _is_number(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.LongType, T.DoubleType))
+def _cells_of(columns: list[str], all_columns: list[str]) -> Column:
+    """Cells of the named columns, in that order; null where the file lacks one."""
+    places = F.array(*[F.lit(all_columns.index(c)) for c in columns]).cast("array<int>")
+    return F.transform(places, lambda i: F.get(F.col("cells"), F.get(F.col("positions"), i)))
 
 
-def _is_date(dtype: T.DataType) -> bool:
-    return isinstance(dtype, (T.DateType, T.TimestampNTZType))
-
-
-def _prepared(value: Column, dtype: T.DataType) -> Column:
-    """First pass over a cell's text; several later expressions refer to it."""
-    if _is_number(dtype):
-        return numbers.unmark(value)
-    return dates.date_text(value)
+def _number_texts(cells: Column, rules: Rules) -> Column:
+    unmarked = F.transform(
+        cells,
+        lambda c: F.struct(
+            c["v"].alias("v"), c["kind"].alias("kind"), numbers.unmark(c["v"]).alias("text")
+        ),
+    )
+    return F.transform(
+        unmarked,
+        lambda c: numbers.number_text(
+            c["v"], c["kind"], numbers.settle(c["text"], rules.fix_thousands)
+        ),
+    )
 
 
-def _failure(name: str, dtype: T.DataType, cell: Column, rules: Rules) -> Column | None:
-    """Name of the column where a cell could not be stored and must fail the file."""
-    unread, text = F.col(name).isNull(), F.col(f"text_{name}")
-    if isinstance(dtype, T.LongType):
-        broken = unread & numbers.float_of(text).isNotNull()
-    elif _is_date(dtype) and not rules.lenient_dates:
-        broken = unread & (cell["kind"] == "str") & dates.is_spanish_date(text)
-    else:
-        return None
-    return F.when(broken, F.lit(name))
+def _dates_apart(cells: Column) -> Column:
+    return F.transform(
+        cells,
+        lambda c: F.struct(
+            c["v"].alias("v"),
+            c["kind"].alias("kind"),
+            dates.date_parts(dates.date_text(c["v"])).alias("parts"),
+        ),
+    )
 
 
 def conform(
@@ -64,79 +68,96 @@ def conform(
 ) -> DataFrame:
     """Typed rows: ``keep`` columns, every file column of the schema, ``extras``, ``errors``.
 
-    ``rows`` needs ``cells`` and the layout's ``positions`` and ``extras``.  Work is
-    laid out as a chain of narrow projections so that text several expressions need
-    (trimmed numbers, folded dates, the sale date five other columns take their year
-    from) is computed once per row.  ``errors`` names the columns whose value makes
+    ``rows`` needs ``cells`` and the layout's ``positions`` and ``extras``.  Columns of
+    one type are converted together, as one array expression, so the plan (and the
+    code generated from it) does not grow with the 71 columns; text that several
+    expressions need is computed once per cell.  The sale date is parsed first: other
+    columns take their year from it.  ``errors`` names the columns whose value makes
     the file unacceptable.
     """
     columns = config.file_columns
     types = {name: resolve_type(config.schema[name]) for name in columns}
-    staged = [n for n in columns if _is_number(types[n]) or _is_date(types[n])]
-    cells = {n: cell_at(F.col("cells"), F.col("positions"), i) for i, n in enumerate(columns)}
+    of_type = lambda *kinds: [n for n in columns if isinstance(types[n], kinds)]
+    ints, floats, flags = of_type(T.LongType), of_type(T.DoubleType), of_type(T.BooleanType)
+    texts, days = of_type(T.StringType), of_type(T.DateType, T.TimestampNTZType)
 
-    def stamp(name: str, year: Column | None) -> Column:
-        cell = F.col(f"cell_{name}")
+    def stamp(c: Column, year: Column | None) -> Column:
         return dates.stamp_of(
-            F.col(f"text_{name}"), cell["v"], cell["kind"], year,
+            c["parts"], c["v"], c["kind"], year,
             rules.run_year, rules.dayfirst, rules.excel_serial,
         )
 
-    def typed(name: str) -> Column:
-        dtype = types[name]
-        if _is_number(dtype):
-            of = numbers.int_of if isinstance(dtype, T.LongType) else numbers.float_of
-            return of(F.col(f"text_{name}"))
-        if name == SALE_DATE:
-            return F.col("sale_stamp").cast(dtype)
-        if _is_date(dtype):
-            year = F.year("sale_stamp") if name in YEAR_FROM_SALE else None
-            value = stamp(name, year)
-            if rules.roll_year and year is not None:
-                value = dates.roll_year(value, F.col("sale_stamp"))
-            return value.cast(dtype)
-        text = standardize_string(cells[name]["v"])
-        return text if isinstance(dtype, T.StringType) else F.lower(text).try_cast(dtype)
-
-    located = rows.select("*", *[cells[n].alias(f"cell_{n}") for n in staged])
-    prepared = located.select(
-        "*", *[_prepared(F.col(f"cell_{n}.v"), types[n]).alias(f"text_{n}") for n in staged]
+    sale_index = days.index(SALE_DATE) if SALE_DATE in days else None
+    read = rows.select(
+        *keep,
+        "extras",
+        "cells",
+        _number_texts(_cells_of(ints, columns), rules).alias("int_texts"),
+        _number_texts(_cells_of(floats, columns), rules).alias("float_texts"),
+        _dates_apart(_cells_of(days, columns)).alias("dates"),
+        F.transform(_cells_of(texts + flags, columns), lambda c: standardize_string(c["v"])).alias(
+            "texts"
+        ),
     )
-    settled = prepared.withColumns(
-        {
-            f"text_{n}": numbers.number_text(
-                F.col(f"cell_{n}.v"),
-                F.col(f"cell_{n}.kind"),
-                numbers.settle(F.col(f"text_{n}"), rules.fix_thousands),
-            )
-            for n in staged
-            if _is_number(types[n])
-        }
+    read = read.withColumn(
+        "sale_stamp",
+        F.lit(None).cast("timestamp_ntz")
+        if sale_index is None
+        else F.transform(
+            F.array(F.col("dates")[sale_index]), lambda c: stamp(c, None)
+        )[0],
     )
-    has_sale_date = SALE_DATE in columns
-    sale_stamp = stamp(SALE_DATE, None) if has_sale_date else F.lit(None).cast("timestamp_ntz")
-    extras = F.map_from_entries(
-        F.transform("extras", lambda e: F.struct(e["name"], F.get(F.col("cells"), e["pos"])["v"]))
+    yearless = _names([n for n in days if n in YEAR_FROM_SALE])
+    sale = F.col("sale_stamp")
+
+    def dated(c: Column, i: Column) -> Column:
+        name = F.get(_names(days), i)
+        from_sale = F.array_contains(yearless, name)
+        value = stamp(c, F.when(from_sale, F.year(sale)))
+        if rules.roll_year:
+            value = F.when(from_sale, dates.roll_year(value, sale)).otherwise(value)
+        return F.when(name == SALE_DATE, sale).otherwise(value)
+
+    converted = read.select(
+        "*",
+        F.transform("int_texts", numbers.int_of).alias("ints"),
+        F.transform("float_texts", numbers.float_of).alias("floats"),
+        F.transform("dates", dated).alias("stamps"),
     )
-    carried = [c for n in staged for c in (f"cell_{n}", f"text_{n}")]
-    converted = settled.withColumn("sale_stamp", sale_stamp).select(
-        *keep,
-        *[typed(n).alias(n) for n in columns],
-        F.when(F.size("extras") > 0, extras)
-        .otherwise(F.create_map().cast("map<string,string>"))
-        .alias("extra_values"),
-        *carried,
+    bad_ints = F.transform(
+        "int_texts",
+        lambda t, i: F.when(
+            F.get("ints", i).isNull() & numbers.float_of(t).isNotNull(), F.get(_names(ints), i)
+        ),
+    )
+    bad_dates = F.transform(
+        "dates",
+        lambda c, i: F.when(
+            F.get("stamps", i).isNull() & (c["kind"] == "str") & dates.is_spanish_date(c["parts"]),
+            F.get(_names(days), i),
+        ),
+    )
+    broken = bad_ints if rules.lenient_dates else F.concat(bad_ints, bad_dates)
+    extras = F.map_from_entries(
+        F.transform("extras", lambda e: F.struct(e["name"], F.get("cells", e["pos"])["v"]))
     )
-    failures = [
-        f for n in columns
-        if (f := _failure(n, types[n], F.col(f"cell_{n}") if n in staged else None, rules)) is not None
-    ]
-    errors = F.array_compact(F.array(*failures)) if failures else F.array()
+
+    def typed(name: str) -> Column:
+        for array, members in (
+            ("ints", ints), ("floats", floats), ("stamps", days), ("texts", texts + flags),
+        ):
+            if name in members:
+                value = F.col(array)[members.index(name)]
+                return F.lower(value).try_cast(types[name]) if name in flags else value.cast(
+                    types[name]
+                )
+        raise ConfigError(f"No conversion for column {name}")
+
     return converted.select(
         *keep,
-        *columns,
-        F.col("extra_values").alias("extras"),
-        errors.cast("array<string>").alias("errors"),
+        *[typed(n).alias(n) for n in columns],
+        extras.alias("extras"),
+        F.array_compact(broken).alias("errors"),
     )
 
 
