@@ -13,10 +13,14 @@ from salesloom.operators.grid import KEYS
 def alias_conflicts(aliases: DataFrame) -> DataFrame:
     """Normalised aliases claimed by more than one target, from (alias, alias_target) rows."""
     return (
-        aliases.withColumn("alias_norm", normalize_text(F.col("alias")))
+        aliases.select(normalize_text(F.col("alias")).alias("alias_norm"), "alias_target")
         .groupBy("alias_norm")
-        .agg(F.array_sort(F.collect_set("alias_target")).alias("targets"))
-        .filter(F.size("targets") > 1)
+        .agg(
+            F.count_distinct("alias_target").alias("target_count"),
+            F.min("alias_target").alias("first_target"),
+            F.max("alias_target").alias("last_target"),
+        )
+        .filter("target_count > 1")
     )
 
 

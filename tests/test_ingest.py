@@ -222,9 +222,7 @@ def test_config_guards(spark):
     assert len(CONFIG.alias_targets) == 121 and len(CONFIG.schema) == 71
     clash = spark.createDataFrame([("Título", "a"), ("titulo ", "b"), ("x", "a")],
                                   "alias string, alias_target string")
-    assert [(r.alias_norm, r.targets) for r in alias_conflicts(clash).collect()] == [
-        ("titulo", ["a", "b"])
-    ]
+    assert [tuple(r) for r in alias_conflicts(clash).collect()] == [("titulo", 2, "a", "b")]
     with pytest.raises(ConfigError):
         CONFIG.struct(["sale_id", "nope"])
     with pytest.raises(ConfigError):
