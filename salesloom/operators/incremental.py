@@ -47,19 +47,51 @@ def insert_only_merge(target: DataFrame, staged: DataFrame, key: str) -> DataFra
     return target.unionByName(new_rows(staged, target, key), allowMissingColumns=True)
 
 
-def count_existing(staged: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Pairs of (staged key, target row) that match, as one row ``row_count``.
+def existing_pairs(staged: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """(key, pairs): staged keys the target holds, and in how many rows.
 
     The target is counted per key before the join, so the join itself is one row
-    per key on each side.
+    per key on the target side.
     """
     per_key = (
         target.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("pairs"))
     )
+    return staged.select(key).join(per_key, key)
+
+
+def count_existing(staged: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Pairs of (staged row, target row) with equal keys, as one row ``row_count``."""
+    return existing_pairs(staged, target, key).agg(
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("row_count")
+    )
+
+
+def load_counts(rows: DataFrame, staged: DataFrame, pairs: DataFrame, key: str, by: str) -> DataFrame:
+    """Per file (``by``): rows arrived, left after dedup, already known, inserted.
+
+    ``pairs`` is :func:`existing_pairs`.  ``rows_inserted`` counts the staged rows
+    without a match; ``rows_inserted_derived`` is staged minus matching pairs, which
+    differs where the target repeats a key.
+    """
+    arrived = rows.groupBy(by).agg(F.count("*").alias("rows_in_file"))
+    known = (
+        staged.select(by, key)
+        .join(pairs, key, "left")
+        .groupBy(by)
+        .agg(
+            F.count("*").alias("rows_after_dedup"),
+            F.coalesce(F.sum("pairs"), F.lit(0)).alias("rows_already_existing"),
+            F.count_if(F.col("pairs").isNull()).alias("rows_inserted"),
+        )
+    )
+    zero = {c: F.coalesce(c, F.lit(0)) for c in known.columns if c != by}
     return (
-        staged.select(key)
-        .join(per_key, key)
-        .agg(F.coalesce(F.sum("pairs"), F.lit(0)).alias("row_count"))
+        arrived.join(known, by, "left")
+        .withColumns(zero)
+        .withColumn("duplicate_rows", F.col("rows_in_file") - F.col("rows_after_dedup"))
+        .withColumn(
+            "rows_inserted_derived", F.col("rows_after_dedup") - F.col("rows_already_existing")
+        )
     )
 
 

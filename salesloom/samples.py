@@ -117,8 +117,7 @@ def _lead_rows() -> Column:
 
 
 def _data_cells() -> Column:
-    """Cells of a data row in its file's layout; the order of URGENT rows in regular
-    files does not arise (they live in the hot file), so gaps there are blank rows."""
+    """Cells of a data row in the layout of its file."""
     one = {
         "id": cell(F.col("id"), "num"),
         "date": cell(F.col("date")),
