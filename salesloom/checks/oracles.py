@@ -13,7 +13,7 @@ def text(value: str | None) -> str:
 
 
 def texts(values) -> str:
-    return "[" + ", ".join(text(v) for v in values) + "]::VARCHAR[]"
+    return "([" + ", ".join(text(v) for v in values) + "]::VARCHAR[])"
 
 
 # Accented letters that occur in the tables and the export headers.
@@ -368,7 +368,8 @@ PRODUCTS = f"""SELECT {PRODUCT_KEY} AS product_key, sku, publication_id, product
 
 
 def titled(c: str) -> str:
-    return f"upper({c}[1]) || lower({c}[2:])"
+    words = f"string_split(lower({c}), ' ')"
+    return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || w[2:]), ' ')"
 
 
 ORACLES["stg_sales"] = f"""WITH {SALES}
@@ -399,7 +400,7 @@ SELECT e.sku, count(*) AS fact_count, sum(quantity)::BIGINT AS units
 FROM sales s LEFT JOIN early e USING (sku) GROUP BY 1"""
 METRICS = """round(sum(total_amount_ars), 2) AS total_sales, count(DISTINCT sale_id) AS sale_count,
   sum(quantity)::BIGINT AS units_sold,
-  round(sum(total_amount_ars) / count(DISTINCT sale_id), 2) AS average_ticket"""
+  round(sum(total_amount_ars), 2) / count(DISTINCT sale_id) AS average_ticket"""
 for name, columns in {
     "kpi_summary": "",
     "kpi_by_product": "sku, product_title, ",
@@ -460,7 +461,7 @@ FROM numbered"""
 ORACLES["ingest_monthly_sales"] = f"""WITH {TYPED}
 SELECT date_trunc('month', sold)::DATE AS month, round(sum(round(total, 2)), 2) AS total_sales,
        count(DISTINCT id) AS sale_count, sum(quantity)::BIGINT AS units_sold,
-       round(sum(round(total, 2)) / count(DISTINCT id), 2) AS average_ticket
+       round(sum(round(total, 2)), 2) / count(DISTINCT id) AS average_ticket
 FROM numbered GROUP BY 1"""
 ORACLES["delimited_scan"] = """
 SELECT c_custkey, c_name || '; "' || c_mktsegment || '"' AS label, true AS third_is_empty,

@@ -8,6 +8,7 @@ month first.  Values outside the 1677-2262 nanosecond range give null.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -63,6 +64,10 @@ LAYOUTS = (
     (ORDERED, f"^{ENGLISH_WORD} ([0-9]{{4}})\\z", "$2|$1|1||||||"),
 )
 
+# White space that is not one plain blank between words.
+SPACE = "[\\s\\p{Z}\\x1c-\\x1f\\x85]"
+WIDE_SPACE = f"[{SPACE}&&[^ ]]{SPACE}*| {SPACE}+"
+
 EARLIEST = dt.datetime(1677, 9, 21, 0, 12, 43, 145225)
 LATEST = dt.datetime(2262, 4, 11, 23, 47, 16, 854775)
 
@@ -73,15 +78,16 @@ def month_number(word: Column) -> Column:
     return F.try_element_at(months, word)
 
 
-def date_text(value: Column) -> Column:
-    """Comparable form of a date: trimmed, lower case, no accents, single spaces."""
-    return F.regexp_replace(
-        fold(F.lower(strip(value))), "[\\s\\p{Z}\\x1c-\\x1f\\x85]+", " "
+def date_texts(values: Column) -> Column:
+    """Comparable forms of an array of dates: trimmed, lower case, no accents, single spaces."""
+    lowered = F.transform(values, lambda v: F.lower(strip(v)))
+    return F.transform(
+        lowered, lambda v: F.regexp_replace(fold(v), WIDE_SPACE, " ")
     )
 
 
 def date_parts(text: Column) -> Column:
-    """:func:`date_text` taken apart: [layout tag, year, month, day, hour, minute, second,
+    """One of :func:`date_texts` taken apart: [layout tag, year, month, day, hour, minute, second,
     fraction, am-pm, zone] as texts; null when no layout fits."""
     chosen = None
     for tag, pattern, order in LAYOUTS:
@@ -96,8 +102,11 @@ def is_spanish_date(parts: Column) -> Column:
     return F.coalesce(F.get(parts, F.lit(0)).isin(LONG, SHORT), F.lit(False))
 
 
-def _int(c: Column) -> Column:
-    return c.try_cast("int")
+def _int(text: Column) -> Column:
+    """Integer of a digits-only text; a failing cast would cost an exception per row, so
+    anything else becomes null before it."""
+    first = F.substring(text, 1, 1)
+    return F.when((first >= "0") & (first <= "9"), text).try_cast("int")
 
 
 def _or_zero(text: Column) -> Column:
@@ -125,15 +134,29 @@ def _month(text: Column) -> Column:
     return F.when(text == "", 1).otherwise(F.coalesce(_int(text), month_number(text), english))
 
 
-def _clock(parts: Column) -> tuple[Column, Column, Column]:
-    hour, half = _or_zero(parts[4]), parts[8]
+def _fields(cell: Column) -> Column:
+    """Typed fields of one taken-apart date; each is computed once per value."""
+    p = cell["parts"]
+    hour, half = _or_zero(p[4]), p[8]
     hour24 = F.when(half == "", hour).when(
         hour.between(1, 12), hour % 12 + F.when(half == "pm", 12).otherwise(0)
     )
-    second = F.concat(
-        F.lpad(parts[6], 2, "0"), F.lit("."), F.rpad(F.substring(parts[7], 1, 6), 6, "0")
-    ).try_cast("decimal(8,6)")
-    return hour24, _or_zero(parts[5]), second
+    second = F.when(p[6] == "", F.lit("0")).otherwise(
+        F.concat(p[6], F.lit("."), F.rpad(F.substring(p[7], 1, 6), 6, "0"))
+    )
+    return F.struct(
+        cell["v"].alias("v"),
+        cell["kind"].alias("kind"),
+        p[0].alias("tag"),
+        _int(p[1]).alias("a"),
+        _int(p[2]).alias("b"),
+        _int(p[3]).alias("c"),
+        _month(p[2]).alias("month"),
+        hour24.alias("hour"),
+        _or_zero(p[5]).alias("minute"),
+        second.cast("decimal(8,6)").alias("second"),
+        p[9].alias("zone"),
+    )
 
 
 def _to_utc(stamp: Column, zone: Column) -> Column:
@@ -144,18 +167,17 @@ def _to_utc(stamp: Column, zone: Column) -> Column:
     return F.when(zone.isin("", "z"), stamp).otherwise(shifted)
 
 
-def _assemble(parts: Column, year: Column, run_year: Column, dayfirst: bool) -> Column:
-    tag, a, b, c = parts[0], _int(parts[1]), _int(parts[2]), _int(parts[3])
-    guessed, year_leads = tag == GUESSED, a > 31
-    swap = (b > 12) if dayfirst else (a <= 12)
-    y = (
-        F.when(tag == SHORT, year)
-        .when(guessed & ~year_leads, _full_year(c, run_year))
-        .otherwise(_full_year(a, run_year))
+def _assemble(f: Column, year: Column, run_year: Column, dayfirst: bool) -> Column:
+    a, b, c = f["a"], f["b"], f["c"]
+    guessed = (f["tag"] == GUESSED) & (a <= 31)
+    month_leads = (b > 12) if dayfirst else (a <= 12)
+    y = F.when(f["tag"] == SHORT, year).otherwise(
+        _full_year(F.when(guessed, c).otherwise(a), run_year)
     )
-    m = F.when(guessed & ~year_leads, F.when(swap, a).otherwise(b)).otherwise(_month(parts[2]))
-    d = F.when(guessed & ~year_leads, F.when(swap, b).otherwise(a)).otherwise(c)
-    return _in_range(_to_utc(F.try_make_timestamp_ntz(y, m, d, *_clock(parts)), parts[9]))
+    m = F.when(guessed, F.when(month_leads, a).otherwise(b)).otherwise(f["month"])
+    d = F.when(guessed, F.when(month_leads, b).otherwise(a)).otherwise(c)
+    made = F.try_make_timestamp_ntz(y, m, d, f["hour"], f["minute"], f["second"])
+    return _to_utc(made, f["zone"])
 
 
 def _from_number(value: Column, excel_serial: bool) -> Column:
@@ -176,26 +198,46 @@ def _from_number(value: Column, excel_serial: bool) -> Column:
     return _in_range(base + F.make_dt_interval(days=days, secs=seconds.cast("decimal(18,6)")))
 
 
-def stamp_of(
-    parts: Column,
-    value: Column,
-    kind: Column | None = None,
-    reference_year: Column | None = None,
+def take_apart(cells: Column) -> Column:
+    """Array of ``struct<v, kind>`` to array of ``struct<v, kind, parts>``."""
+    texts = date_texts(F.transform(cells, lambda c: c["v"]))
+    return F.transform(
+        F.arrays_zip(cells.alias("cell"), texts.alias("text")),
+        lambda z: F.struct(
+            z["cell"]["v"].alias("v"),
+            z["cell"]["kind"].alias("kind"),
+            date_parts(z["text"]).alias("parts"),
+        ),
+    )
+
+
+def stamps_of(
+    apart: Column,
+    year_of: Callable[[Column], Column | None] | None = None,
     run_year: int | None = None,
     dayfirst: bool = False,
     excel_serial: bool = False,
 ) -> Column:
-    """:func:`parse_datetime` when the value's :func:`date_parts` are at hand."""
+    """Array of TIMESTAMP_NTZ for :func:`take_apart` cells.
+
+    ``year_of`` gives the year of a year-less date from its place in the array.
+    """
     this_year = F.lit(run_year) if run_year is not None else F.year(F.current_date())
-    year = this_year if reference_year is None else F.coalesce(reference_year, this_year)
-    written = _assemble(parts, year, this_year, dayfirst)
-    if kind is None:
-        return written
-    return (
-        F.when(kind == "num", _from_number(value, excel_serial))
-        .when(kind == "bool", F.lit(None).cast("timestamp_ntz"))
-        .otherwise(written)
-    )
+
+    def stamp(f: Column, i: Column) -> Column:
+        year = this_year if year_of is None else F.coalesce(year_of(i), this_year)
+        return (
+            F.when(f["kind"] == "num", _from_number(f["v"], excel_serial))
+            .when(f["kind"] == "bool", F.lit(None).cast("timestamp_ntz"))
+            .otherwise(_assemble(f, year, this_year, dayfirst))
+        )
+
+    return F.transform(F.transform(F.transform(apart, _fields), stamp), _in_range)
+
+
+def _single(value: Column, kind: Column | None) -> Column:
+    kind = F.lit("str") if kind is None else kind
+    return take_apart(F.array(F.struct(value.alias("v"), kind.alias("kind"))))
 
 
 def parse_datetime(
@@ -211,22 +253,16 @@ def parse_datetime(
     ``reference_year`` supplies the year of the short form, falling back to
     ``run_year`` (default: the current year).  All-numeric dates are month first
     unless that is impossible (``dayfirst`` swaps the preference); offsets are
-    resolved to UTC.  The text is taken apart once per value.
+    resolved to UTC.
     """
-    taken_apart = F.array(date_parts(date_text(value)))
-    stamps = F.transform(
-        taken_apart,
-        lambda parts: stamp_of(
-            parts, value, kind, reference_year, run_year, dayfirst, excel_serial
-        ),
-    )
-    return stamps[0]
+    year_of = None if reference_year is None else lambda i: reference_year
+    return stamps_of(_single(value, kind), year_of, run_year, dayfirst, excel_serial)[0]
 
 
 def date_error(value: Column, kind: Column | None = None, **options) -> Column:
     """True for a Spanish date that names an impossible day or time ("31 de febrero")."""
     unread = parse_datetime(value, kind, **options).isNull()
-    bad = unread & is_spanish_date(date_parts(date_text(value)))
+    bad = unread & is_spanish_date(_single(value, kind)[0]["parts"])
     return bad if kind is None else F.coalesce(kind == "str", F.lit(False)) & bad
 
 

@@ -52,17 +52,6 @@ def _number_texts(cells: Column, rules: Rules) -> Column:
     )
 
 
-def _dates_apart(cells: Column) -> Column:
-    return F.transform(
-        cells,
-        lambda c: F.struct(
-            c["v"].alias("v"),
-            c["kind"].alias("kind"),
-            dates.date_parts(dates.date_text(c["v"])).alias("parts"),
-        ),
-    )
-
-
 def conform(
     rows: DataFrame, config: Config, rules: Rules = Rules(), keep: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -79,50 +68,39 @@ def conform(
     types = {name: resolve_type(config.schema[name]) for name in columns}
     of_type = lambda *kinds: [n for n in columns if isinstance(types[n], kinds)]
     ints, floats, flags = of_type(T.LongType), of_type(T.DoubleType), of_type(T.BooleanType)
-    texts, days = of_type(T.StringType), of_type(T.DateType, T.TimestampNTZType)
+    texts, dated = of_type(T.StringType), of_type(T.DateType, T.TimestampNTZType)
+    days = [n for n in dated if n != SALE_DATE]
+    has_sale = SALE_DATE in dated
 
-    def stamp(c: Column, year: Column | None) -> Column:
-        return dates.stamp_of(
-            c["parts"], c["v"], c["kind"], year,
-            rules.run_year, rules.dayfirst, rules.excel_serial,
-        )
+    def stamps(apart: Column, year_of=None) -> Column:
+        return dates.stamps_of(apart, year_of, rules.run_year, rules.dayfirst, rules.excel_serial)
 
-    sale_index = days.index(SALE_DATE) if SALE_DATE in days else None
     read = rows.select(
         *keep,
         "extras",
         "cells",
         _number_texts(_cells_of(ints, columns), rules).alias("int_texts"),
         _number_texts(_cells_of(floats, columns), rules).alias("float_texts"),
-        _dates_apart(_cells_of(days, columns)).alias("dates"),
+        dates.take_apart(_cells_of([SALE_DATE] if has_sale else [], columns)).alias("sale"),
+        dates.take_apart(_cells_of(days, columns)).alias("dates"),
         F.transform(_cells_of(texts + flags, columns), lambda c: standardize_string(c["v"])).alias(
             "texts"
         ),
     )
-    read = read.withColumn(
-        "sale_stamp",
-        F.lit(None).cast("timestamp_ntz")
-        if sale_index is None
-        else F.transform(
-            F.array(F.col("dates")[sale_index]), lambda c: stamp(c, None)
-        )[0],
-    )
+    read = read.withColumn("sale_stamp", F.get(stamps(F.col("sale")), F.lit(0)))
     yearless = _names([n for n in days if n in YEAR_FROM_SALE])
     sale = F.col("sale_stamp")
-
-    def dated(c: Column, i: Column) -> Column:
-        name = F.get(_names(days), i)
-        from_sale = F.array_contains(yearless, name)
-        value = stamp(c, F.when(from_sale, F.year(sale)))
-        if rules.roll_year:
-            value = F.when(from_sale, dates.roll_year(value, sale)).otherwise(value)
-        return F.when(name == SALE_DATE, sale).otherwise(value)
-
+    from_sale = lambda i: F.array_contains(yearless, F.get(_names(days), i))
+    found = stamps(F.col("dates"), lambda i: F.when(from_sale(i), F.year(sale)))
+    if rules.roll_year:
+        found = F.transform(
+            found, lambda s, i: F.when(from_sale(i), dates.roll_year(s, sale)).otherwise(s)
+        )
     converted = read.select(
         "*",
         F.transform("int_texts", numbers.int_of).alias("ints"),
         F.transform("float_texts", numbers.float_of).alias("floats"),
-        F.transform("dates", dated).alias("stamps"),
+        found.alias("stamps"),
     )
     bad_ints = F.transform(
         "int_texts",
@@ -130,19 +108,21 @@ def conform(
             F.get("ints", i).isNull() & numbers.float_of(t).isNotNull(), F.get(_names(ints), i)
         ),
     )
+    unread_date = lambda c, stamp, name: F.when(
+        stamp.isNull() & (c["kind"] == "str") & dates.is_spanish_date(c["parts"]), name
+    )
+    bad_sale = F.transform("sale", lambda c: unread_date(c, sale, F.lit(SALE_DATE)))
     bad_dates = F.transform(
-        "dates",
-        lambda c, i: F.when(
-            F.get("stamps", i).isNull() & (c["kind"] == "str") & dates.is_spanish_date(c["parts"]),
-            F.get(_names(days), i),
-        ),
+        "dates", lambda c, i: unread_date(c, F.get("stamps", i), F.get(_names(days), i))
     )
-    broken = bad_ints if rules.lenient_dates else F.concat(bad_ints, bad_dates)
+    broken = bad_ints if rules.lenient_dates else F.concat(bad_sale, bad_ints, bad_dates)
     extras = F.map_from_entries(
         F.transform("extras", lambda e: F.struct(e["name"], F.get("cells", e["pos"])["v"]))
     )
 
     def typed(name: str) -> Column:
+        if has_sale and name == SALE_DATE:
+            return sale.cast(types[name])
         for array, members in (
             ("ints", ints), ("floats", floats), ("stamps", days), ("texts", texts + flags),
         ):

@@ -43,20 +43,17 @@ def profile(grid: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     ``pos`` -1 counts the rows of the chunk that hold any value.  The aggregation
     combines map-side, so what is shuffled is chunks x columns, not rows.
     """
-    positions = F.filter(
-        F.transform(F.col("cells"), lambda c, i: F.when(c.isNotNull(), i)),
-        lambda i: i.isNotNull(),
-    )
-    marks = F.concat(F.array(F.lit(WHOLE_ROW)), positions)
+    marker = F.array(F.struct(F.lit("").alias("v"), F.lit("").alias("kind")))
     return (
         drop_empty_rows(grid)
         .select(
             *KEYS,
             "row_idx",
             F.floor(F.col("row_idx") / chunk_rows).alias("chunk"),
-            F.explode(marks).alias("pos"),
+            F.posexplode(F.concat(marker, "cells")).alias("place", "cell"),
         )
-        .groupBy(*KEYS, "chunk", "pos")
+        .filter("cell IS NOT NULL")
+        .groupBy(*KEYS, "chunk", (F.col("place") - 1).alias("pos"))
         .agg(F.count("*").alias("filled"), F.max("row_idx").alias("last_row"))
     )
 
@@ -90,21 +87,21 @@ def number_rows(
     ``filled_to_header`` (plus anything else a row needs from its file); files it
     lacks are dropped.  ``source_row_number`` runs consecutively from
     ``header_row + 2`` over non-empty rows.  Rows shuffle once, on
-    (file, sheet, chunk), so one huge file spreads over many tasks.
+    (file, sheet, chunk), so one huge file spreads over many tasks; the join comes
+    after the window and reuses its partitioning and order (hence the merge hint), so
+    the rows that are sorted stay narrow.
     """
-    within = W.partitionBy(*KEYS, "chunk").orderBy("row_idx")
-    base = F.when(F.col("chunk") == 0, F.lit(0)).otherwise(
-        F.col("rows_before") - F.col("filled_to_header")
-    )
+    in_chunk = W.partitionBy(*KEYS, "chunk").orderBy("row_idx")
     return (
         drop_empty_rows(grid)
         .withColumn("chunk", F.floor(F.col("row_idx") / chunk_rows))
-        .join(chunks, [*KEYS, "chunk"])
+        .withColumn("nth", F.row_number().over(in_chunk))
+        .join(chunks.hint("merge"), [*KEYS, "chunk"])
         .filter(F.col("row_idx") > F.col("header_row"))
         .withColumn(
             "source_row_number",
-            F.col("header_row") + 1 + base + F.row_number().over(within),
+            F.col("header_row") + 1 + F.col("rows_before") + F.col("nth") - F.col("filled_to_header"),
         )
         .withColumn("physical_row_number", F.col("row_idx") + 1)
-        .drop("rows", "rows_before", "filled_to_header", "chunk")
+        .drop("nth", "rows", "rows_before", "filled_to_header", "chunk")
     )

@@ -56,7 +56,8 @@ def survey_sheets(
     Files without any cell appear once, with a null sheet.  Everything here is per
     sheet; the data rows were reduced to ``profiled`` before.
     """
-    detected = detect_headers(grid, config.alias_targets, scan_rows, min_score)
+    content = grid.filter(F.col("row_idx") >= 0)
+    detected = detect_headers(content, config.alias_targets, scan_rows, min_score)
     labels = header_labels(detected, G.column_fill(profiled))
     shapes = layouts(map_labels(labels, config), config).drop("header_row")
     seen = profiled.select(*G.KEYS).distinct().withColumn("has_rows", F.lit(True))
@@ -118,16 +119,19 @@ def ingest(
     scan_rows: int = SCAN_ROWS,
     min_score: float = MIN_SCORE,
     chunk_rows: int = G.CHUNK_ROWS,
+    keep_grid: bool = True,
 ) -> Ingested:
     """Run the whole chain for every sheet of ``grid``.
 
     ``files(file_path, file_hash)`` lists the inputs, also those without any cell.
-    Results that several steps read (profile, sheet survey, typed rows) are written
-    to scratch once.  A sheet with one unacceptable value is rejected as a whole.
+    Results that several steps read (grid, profile, sheet survey, typed rows) are
+    written to scratch once; ``keep_grid=False`` re-reads a grid that is cheap to read
+    again.  A sheet with one unacceptable value is rejected as a whole.
     """
     config = config or Config()
     if chunk_rows <= scan_rows:
         raise ValueError("chunk_rows must exceed scan_rows")
+    grid = materialise(grid, "grid") if keep_grid else grid
     content = grid.filter(F.col("row_idx") >= 0)
     described = describe_files(files, session_id, loaded_at)
     profiled = materialise(G.profile(content, chunk_rows), "profile")

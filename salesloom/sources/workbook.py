@@ -152,8 +152,10 @@ def _rows(archive, member, strings, dates, epoch) -> Iterator[tuple[int, list]]:
                 elif item.get("r") is None:
                     cells.append(None)
             element.clear()
+            while cells and cells[-1] is None:
+                cells.pop()
             blank.extend(i for i in range(following, index) if i < LEADING_ROWS)
-            if any(c is not None for c in cells):
+            if cells:
                 yield from ((i, []) for i in blank)
                 blank = []
                 yield index, cells

@@ -82,8 +82,7 @@ def workbook_stream(
 
 def _ingest_batch(batch: DataFrame, batch_id: int, path, reports, sheet, config, rules, session_id):
     files = materialise(file_hashes(batch), "files")
-    grid = materialise(grid_of_workbooks(batch, sheet), "grid")
-    done = ingest(grid, files, config, rules, session_id)
+    done = ingest(grid_of_workbooks(batch, sheet), files, config, rules, session_id)
     order = ["file_path", "sheet", "source_row_number"]
     merge_batch(done.rows, batch_id, path, "sale_id", order, ["file_path"])
     done.sheets.write.mode("overwrite").parquet(f"{reports}/{BATCH}={batch_id}")
