@@ -24,7 +24,7 @@ from salesloom.operators import metadata as MD
 from salesloom.plans import marts, quality, star
 from salesloom.plans.ingest import ingest, survey_sheets
 from salesloom.samples import table
-from salesloom.scratch import scratch_path
+from salesloom.scratch import materialise, scratch_path
 from salesloom.sources.delimited import read_delimited
 from salesloom.sources.hashing import digest, file_hashes, line_fingerprints
 from salesloom.sources.workbook import binary_files, grid_of_workbooks
@@ -270,6 +270,8 @@ def detect_header(spark, folder):
 
 def _labels(spark, folder, with_fill: bool = False) -> DataFrame:
     grid = samples.export_grid(spark, folder)
+    if with_fill:
+        grid = materialise(grid, "grid")
     fill = G.column_fill(G.profile(grid)) if with_fill else None
     return H.header_labels(H.detect_headers(grid, CONFIG.alias_targets), fill)
 
@@ -322,7 +324,7 @@ def drop_empty_columns(spark, folder):
 
 @query
 def source_row_number(spark, folder):
-    grid = samples.export_grid(spark, folder)
+    grid = materialise(samples.export_grid(spark, folder), "grid")
     found = H.detect_headers(grid, CONFIG.alias_targets).filter("header_found")
     chunks = G.chunk_offsets(G.profile(grid)).join(
         found.select(*G.KEYS, "header_row", "filled_to_header"), G.KEYS
@@ -389,7 +391,7 @@ def validate_extra(spark, folder):
 @query
 def survey_files(spark, folder):
     """Status of every export file; reads profile and headers, no data rows."""
-    grid = samples.export_grid(spark, folder)
+    grid = materialise(samples.export_grid(spark, folder), "grid")
     described = MD.describe_files(samples.export_files(spark, folder), SESSION, NOW)
     sheets = survey_sheets(grid, G.profile(grid), described, CONFIG)
     return sheets.select("file_path", "status", "header_row", "category_row_used", "mapped_count")

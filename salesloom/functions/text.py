@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PAIR_END, PAIR_MIDDLE = "\x01", "\x02"
+# Anything but ASCII and the accented Latin-1 letters, none of which becomes several.
+UNUSUAL = "[^\\x00-\\x7f\\xc0-\\xff]"
 HANGUL = range(0xAC00, 0xD7A4)
 SURROGATES = range(0xD800, 0xE000)
 
@@ -99,7 +101,8 @@ def strip_accents(c: Column) -> Column:
     widened = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), ""
     )
-    return fold(F.when(c.rlike(_wide_class()), widened).otherwise(c))
+    spread = F.when(c.rlike(UNUSUAL) & c.rlike(_wide_class()), widened).otherwise(c)
+    return fold(spread)
 
 
 def normalize_text(c: Column) -> Column:
