@@ -20,6 +20,11 @@ SHEET = "0"
 SPLIT = ["file_path", "split_start"]
 
 
+def _plain_path(uri: Column) -> Column:
+    """Path as other sources spell it, without percent escapes."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def text_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
     """(file_path, split_start, line_id, line): ``line_id`` rises within a split."""
     lines = (
@@ -28,7 +33,7 @@ def text_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.csv
         .text(path)
     )
     return lines.select(
-        F.col("_metadata.file_path").alias("file_path"),
+        _plain_path(F.col("_metadata.file_path")).alias("file_path"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("line_id"),
         F.col("value").alias("line"),
@@ -141,23 +146,23 @@ def number_records(lines: DataFrame) -> DataFrame:
     return single.unionByName(joined)
 
 
-def read_delimited(
-    spark: SparkSession,
-    path: str | list[str],
-    sep: str = ",",
-    pattern: str = "*.csv",
-    lines: DataFrame | None = None,
+def read_records(
+    spark: SparkSession, path: str | list[str], pattern: str = "*.csv"
 ) -> DataFrame:
-    """Grid of every delimited file under ``path``.
+    """(file_path, row_idx, record) of every text file under ``path``.
 
     Lines are written to scratch once, so that both passes see the same splits.
     The multi-line path runs only when some line has an unbalanced quote.
     """
-    lines = materialise(text_lines(spark, path, pattern), "lines") if lines is None else lines
+    lines = materialise(text_lines(spark, path, pattern), "lines")
     unbalanced = F.regexp_count("line", F.lit('"')) % 2 == 1
     multi = not lines.filter(unbalanced).isEmpty()
-    records = (number_records if multi else number_lines)(lines)
-    first = F.regexp_replace(F.col("record"), "^﻿", "")
+    return (number_records if multi else number_lines)(lines)
+
+
+def grid_of_records(records: DataFrame, sep: str = ",") -> DataFrame:
+    """Grid of numbered records; a byte-order mark before the first one is dropped."""
+    first = F.regexp_replace(F.col("record"), "^\ufeff", "")
     record = F.when(F.col("row_idx") == 0, first).otherwise(F.col("record"))
     return records.select(
         "file_path",
@@ -165,3 +170,10 @@ def read_delimited(
         "row_idx",
         _cells(split_fields(record, sep)).alias("cells"),
     )
+
+
+def read_delimited(
+    spark: SparkSession, path: str | list[str], sep: str = ",", pattern: str = "*.csv"
+) -> DataFrame:
+    """Grid of every delimited file under ``path``."""
+    return grid_of_records(read_records(spark, path, pattern), sep)
