@@ -421,6 +421,8 @@ SELECT sale_id, sale_date, sale_status, buyer_country, total_amount_ars FROM sal
 WHERE sale_date BETWEEN DATE '1997-01-01' AND DATE '1998-06-30' AND sale_status IN ('F', 'O')
   AND buyer_country IN ('AMERICA', 'ASIA')"""
 
+ORACLES["preview_rows"] = "SELECT * FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5"
+
 # --- data quality
 
 ORACLES["dq_duplicates"] = """

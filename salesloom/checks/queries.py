@@ -699,6 +699,11 @@ def filter_sales(spark, folder):
     return chosen.select("sale_id", "sale_date", "sale_status", "buyer_country", "total_amount_ars")
 
 
+@query
+def preview_rows(spark, folder):
+    return marts.preview(table(spark, folder, "orders"), "o_orderdate", "o_orderkey")
+
+
 # --- data quality ------------------------------------------------------------------------
 
 

@@ -17,9 +17,14 @@ from salesloom.operators.metadata import describe_files
 from salesloom.scratch import materialise
 
 ACCEPTED = "accepted"
+SHOWN_REJECTIONS = 20
 FILE_COLUMNS = ("load_id", "session_load_id", "file_name", "file_hash", "loaded_at")
 
 
+class RejectedFiles(ValueError):
+    """Some sheets failed a check and the caller asked for all or nothing."""
+
+
 @dataclass(frozen=True)
 class Ingested:
     """``rows``: typed rows of accepted sheets; ``sheets``: one report row per sheet."""
@@ -30,6 +35,18 @@ class Ingested:
     def rejected(self) -> DataFrame:
         return self.sheets.filter(F.col("status") != ACCEPTED)
 
+    def require_all(self) -> Ingested:
+        """Fail unless every sheet was accepted; the message names the first few."""
+        refused = self.rejected()
+        first = refused.orderBy(*G.KEYS).limit(SHOWN_REJECTIONS)
+        shown = first.select(
+            "file_path", "status", "score", "missing_required", "duplicate_targets", "bad_columns"
+        ).collect()
+        if shown:
+            reasons = "; ".join(str(row.asDict()) for row in shown)
+            raise RejectedFiles(f"{refused.count()} sheets rejected: {reasons}")
+        return self
+
 
 def _status() -> F.Column:
     """First check a sheet fails, in the order the checks run."""
@@ -98,7 +115,9 @@ def typed_rows(
     wanted = sheets.filter(F.col("status") == ACCEPTED).select(
         *G.KEYS, *FILE_COLUMNS, "header_row", "filled_to_header", "positions", "extras"
     )
-    chunks = G.chunk_offsets(profiled).join(wanted, G.KEYS)
+    # Position arrays compress so well that their file size says little about a
+    # broadcast's size in memory, hence the merge hint.
+    chunks = G.chunk_offsets(profiled).join(wanted.hint("merge"), G.KEYS)
     numbered = (
         G.number_rows(grid, chunks, chunk_rows)
         .withColumn("source_sheet", F.col("sheet"))

@@ -63,6 +63,6 @@ def filter_sales(
     return sales
 
 
-def preview(sales: DataFrame, rows: int = 5) -> DataFrame:
-    """First rows for a look."""
-    return sales.limit(rows)
+def preview(sales: DataFrame, *order: str, rows: int = 5) -> DataFrame:
+    """First rows for a look, in a fixed order when one is given."""
+    return (sales.orderBy(*order) if order else sales).limit(rows)

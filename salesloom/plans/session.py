@@ -56,12 +56,14 @@ def run_session(
     output_dir: str | None = None,
     tables: Tables | None = None,
     strict_extras: bool = False,
+    fail_on_rejected: bool = False,
     max_hashed_bytes: int = MAX_HASHED_BYTES,
 ) -> Session:
     """Read every export under ``path``, type it, optionally save and load it.
 
     ``source`` is "workbook" or "delimited".  Output is written before the load, so it
-    exists even when the load fails.
+    exists even when the load fails.  ``fail_on_rejected`` stops before both when any
+    sheet failed a check.
     """
     if source == "workbook":
         pattern = pattern or "*.xlsx"
@@ -72,6 +74,8 @@ def run_session(
     else:
         raise ValueError(f"Unknown source: {source}")
     done = ingest(grid, materialise(files, "files"), config, rules, session_id)
+    if fail_on_rejected:
+        done.require_all()
     saved = save_processed(done.rows, output_dir) if output_dir else None
     loaded = None
     if tables is not None:
