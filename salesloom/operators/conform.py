@@ -38,10 +38,13 @@ def _cells_of(columns: list[str], all_columns: list[str]) -> Column:
 
 
 def _number_texts(cells: Column, rules: Rules) -> Column:
+    """Plain number texts; only text cells need cleaning."""
     unmarked = F.transform(
         cells,
         lambda c: F.struct(
-            c["v"].alias("v"), c["kind"].alias("kind"), numbers.unmark(c["v"]).alias("text")
+            c["v"].alias("v"),
+            c["kind"].alias("kind"),
+            F.when(c["kind"] == "str", numbers.unmark(c["v"])).alias("text"),
         ),
     )
     return F.transform(
