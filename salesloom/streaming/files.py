@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from salesloom.config import Config
 from salesloom.operators.conform import Rules
-from salesloom.operators.incremental import keep_first, new_rows
+from salesloom.operators.incremental import keep_first, key_range, new_rows, within
 from salesloom.plans.ingest import ingest
 from salesloom.scratch import materialise
 from salesloom.sources.hashing import file_hashes
@@ -47,11 +47,15 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str, order: list[str],
                 null_scope: list[str] | None = None) -> None:
-    """Insert the batch's unseen keys as partition ``batch=<id>`` of ``path``."""
+    """Insert the batch's unseen keys as partition ``batch=<id>`` of ``path``.
+
+    Of the other partitions only keys within the batch's own range are read.
+    """
     target = read_target(batch.sparkSession, path, batch.schema)
-    others = target.filter(F.col(BATCH) != batch_id)
+    span = key_range(batch, key)
+    others = within(target.filter(F.col(BATCH) != batch_id), key, span.low, span.high)
     fresh = new_rows(keep_first(batch, key, order, null_scope), others, key)
-    fresh.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+    fresh.sortWithinPartitions(key).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
 
 def merge_stream(

@@ -11,7 +11,7 @@ from salesloom.operators import incremental as I
 from salesloom.operators.conform import Rules
 from salesloom.plans.ingest import ingest
 from salesloom.plans.load import Tables, load_incremental
-from salesloom.streaming.files import ingest_stream, merge_stream, workbook_stream
+from salesloom.streaming.files import ingest_stream, merge_batch, merge_stream, workbook_stream
 
 
 def batch(spark, files, session, day):
@@ -133,3 +133,14 @@ def test_workbook_stream(spark, tmp_path):
     write_workbook(inbox / "b.xlsx", {"S": [FLAT, sale(2), sale(3)]})
     assert run() == ["1", "2", "3"]
     assert spark.read.parquet(reports).count() == 2
+
+
+def test_replayed_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, 1), (None, 2), (2, 3)], "k int, n int")
+    second = spark.createDataFrame([(2, 4), (5, 5), (None, 6)], "k int, n int")
+    # a restart replays the last batch only; the earlier ones are committed
+    for batch, number in ((first, 0), (second, 1), (second, 1)):
+        merge_batch(batch, number, path, "k", ["n"])
+    got = sorted((-1 if r.k is None else r.k, r.n) for r in spark.read.parquet(path).collect())
+    assert got == [(-1, 2), (-1, 6), (1, 1), (2, 3), (5, 5)]
