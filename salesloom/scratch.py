@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the session's checkpoint folder.
-
-    Only a local session may run without that setting; a cluster has to name a
-    folder every executor can reach.
-    """
+    """A fresh path under the session's checkpoint folder, or under its warehouse
+    where no checkpoint folder is set: executors reach both."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        root = tempfile.mkdtemp(prefix="salesloom-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/salesloom/{uuid.uuid4().hex}/{name}"
 
 
@@ -28,3 +22,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch files behind a materialised ``df`` that no later job reads."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if "/salesloom/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
