@@ -101,10 +101,11 @@ def merged(partial: DataFrame, bits: int, rows: int) -> tuple[list[np.ndarray],
     width = 2**bits // shards // 8
     maps = [np.zeros(2**bits // 8, np.uint8) for _ in range(rows)]
     keys = 0
-    for row in blocks.collect():  # at most rows * 2**bits bits
-        at = row["block"] % shards * width
-        maps[row["block"] // shards][at : at + width] = np.frombuffer(row["hot"], np.uint8)
-        keys += row["keys"]
+    for batch in blocks.toArrow().to_batches():  # at most rows * 2**bits bits
+        for block, count, hot in zip(*batch.columns, strict=True):
+            row, at = divmod(block.as_py(), shards)
+            maps[row][at * width : (at + 1) * width] = np.frombuffer(hot.as_buffer(), np.uint8)
+            keys += count.as_py()
     return maps, keys // rows
 
 

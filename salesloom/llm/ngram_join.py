@@ -250,7 +250,7 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         groups = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node"), "shared")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", bits: int = 28, rows: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", bits: int = 27, rows: int = 2) -> DataFrame:
     """One row per document: the id, ``n_shingles``, ``component_id`` (smallest id reachable), ``group``
     (the component as a hash, null for empty texts) and ``row_key`` (hash of id and text)."""
     spark = docs.sparkSession
@@ -258,6 +258,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str
     partial = texts.select("text").mapInArrow(lambda b: countmin.sketch_partition(_keys(b, words, percent), bits, rows), countmin.SKETCHES)
     maps = spark.sparkContext.broadcast(countmin.merged(partial, bits, rows)[0])
     described = materialise(texts.mapInArrow(lambda b: _described(b, words, percent, maps, bits), _SETS), "described")
+    maps.destroy()
     nodes = described.where("n_shingles > 0 and size(keys) + size(next_keys) > 0").groupBy("node")
     nodes = nodes.agg(F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "need", "next_keys", "next_need")])
     nodes = materialise(nodes.withColumnRenamed("n_shingles", "size"), "nodes")
