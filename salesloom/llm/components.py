@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.scratch import materialise
+from salesloom.scratch import discard, materialise
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,6 +20,7 @@ def components(links: DataFrame) -> DataFrame:
     roots = materialise(links.select(F.explode(F.array("u", "v")).alias("node")).distinct().withColumn("root", F.col("node")), "roots")
     while not links.isEmpty():
         both = links.select("u", "v").unionAll(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        old = (links, roots)
         step = materialise(both.groupBy("u").agg(F.least("u", F.min("v")).alias("to")), "step")
         roots = materialise(
             roots.join(step.withColumnRenamed("u", "root"), "root", "left").select("node", F.coalesce("to", "root").alias("root")),
@@ -28,4 +29,6 @@ def components(links: DataFrame) -> DataFrame:
         moved = links.join(step.withColumnRenamed("to", "a"), "u").select("a", F.col("v").alias("u"))
         moved = moved.join(step.withColumnRenamed("to", "b"), "u").select(F.col("a").alias("u"), F.col("b").alias("v"))
         links = materialise(moved.where("u != v").distinct(), "links")
+        for table in (*old, step):
+            discard(table)
     return roots

@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 from salesloom.llm import countmin
 from salesloom.llm.components import components
 from salesloom.llm.words import U64, Batch, gram_hashes, gram_starts, mixed, split_words, text_batches, word_hashes
-from salesloom.scratch import materialise
+from salesloom.scratch import discard, materialise
 
 _COUNTED = 4  # fragments in which overlaps are counted
 
@@ -242,12 +242,17 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         # ``need`` of them with one other node: then two such nodes share one of their distance - need + 1 rarest.
         still = _open(groups.select("group", "node"), roots).select("group").distinct()
         need = F.greatest(F.lit(1), F.ceil(-F.col("left") / (2 * (100 + percent))))
-        asked = slack.join(still, "group").select("group", "node", (F.col("distance") - need + 1).alias("prefix"))
-        shared = unlike.join(asked, ["group", "node"]).select("group", "node", "prefix", F.explode("grams").alias("gram"))
-        holders = shared.groupBy("group", "gram").agg(F.count("*").alias("holders"))
-        rank = F.row_number().over(Window.partitionBy("group", "node").orderBy("holders", "gram"))
-        shared = shared.join(holders, ["group", "gram"]).withColumn("rank", rank).where("rank <= prefix and holders > 1")
-        groups = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node"), "shared")
+        asked = slack.join(still, "group").select("group", "node", "distance", (F.col("distance") - need + 1).alias("prefix")).where("prefix > 0")
+        shared = unlike.join(asked, ["group", "node"]).select("group", "node", "distance", "prefix", F.explode("grams").alias("gram"))
+        holders = shared.groupBy("group", "gram").agg(F.count("*").alias("holders")).where("holders > 1")
+        # The rarest are those nobody else has; what is left of the prefix after them is taken from the shared ones.
+        mine = Window.partitionBy("group", "node")
+        shared = shared.join(holders, ["group", "gram"]).withColumn("left", F.col("prefix") - F.col("distance") + F.count("*").over(mine))
+        shared = shared.withColumn("rank", F.row_number().over(mine.orderBy("holders", "gram"))).where("rank <= left")
+        moved = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node"), "shared")
+        for table in (unlike, slack, groups):
+            discard(table)
+        groups = moved
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", bits: int = 27, rows: int = 2) -> DataFrame:
