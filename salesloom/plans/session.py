@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from salesloom.config import Config
 from salesloom.operators.conform import Rules
@@ -17,10 +16,6 @@ from salesloom.sources.delimited import grid_of_records, read_records
 from salesloom.sources.hashing import file_hashes, line_fingerprints
 from salesloom.sources.workbook import binary_files, read_workbooks
 
-# Files above this size are fingerprinted in parallel instead of hashed front to back.
-MAX_HASHED_BYTES = 1 << 30
-
-
 @dataclass(frozen=True)
 class Session:
     """What a session produced; ``saved`` and ``loaded`` are None when not asked for."""
@@ -31,15 +26,15 @@ class Session:
 
 
 def _delimited(
-    spark: SparkSession, path: str | list[str], pattern: str, sep: str, max_hashed_bytes: int
+    spark: SparkSession, path: str | list[str], pattern: str, sep: str, hash_by: str
 ) -> tuple[DataFrame, DataFrame]:
     records = read_records(spark, path, pattern)
-    listed = binary_files(spark, path, pattern)
-    small = file_hashes(listed.filter(F.col("length") <= max_hashed_bytes))
-    large = listed.filter(F.col("length") > max_hashed_bytes).select(
-        F.col("path").alias("file_path")
-    )
-    hashes = small.unionByName(line_fingerprints(records.join(large, "file_path", "left_semi")))
+    if hash_by == "bytes":
+        hashes = file_hashes(binary_files(spark, path, pattern))
+    elif hash_by == "lines":
+        hashes = line_fingerprints(records)
+    else:
+        raise ValueError(f"Unknown digest: {hash_by}")
     return grid_of_records(records, sep), hashes
 
 
@@ -57,20 +52,21 @@ def run_session(
     tables: Tables | None = None,
     strict_extras: bool = False,
     fail_on_rejected: bool = False,
-    max_hashed_bytes: int = MAX_HASHED_BYTES,
+    hash_by: str = "bytes",
 ) -> Session:
     """Read every export under ``path``, type it, optionally save and load it.
 
     ``source`` is "workbook" or "delimited".  Output is written before the load, so it
     exists even when the load fails.  ``fail_on_rejected`` stops before both when any
-    sheet failed a check.
+    sheet failed a check.  ``hash_by`` is the digest of every file of the session: "bytes"
+    (SHA-256, read front to back) or, for delimited files, "lines" (computed in parallel).
     """
     if source == "workbook":
         pattern = pattern or "*.xlsx"
         grid = read_workbooks(spark, path, sheet, pattern)
         files = file_hashes(binary_files(spark, path, pattern))
     elif source == "delimited":
-        grid, files = _delimited(spark, path, pattern or "*.csv", sep, max_hashed_bytes)
+        grid, files = _delimited(spark, path, pattern or "*.csv", sep, hash_by)
     else:
         raise ValueError(f"Unknown source: {source}")
     done = ingest(grid, materialise(files, "files"), config, rules, session_id)

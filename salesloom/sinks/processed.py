@@ -27,7 +27,7 @@ def output_name(file_name: Column) -> Column:
 def save_processed(rows: DataFrame, output_dir: str) -> Saved:
     """Write rows under ``output_dir``/{csv,parquet}/output=<stem>_processed/.
 
-    Rows stay in the tasks that hold them (no shuffle per file).  The CSV header
+    Rows stay in the tasks that hold them (no shuffle per file); output of other inputs stays.  The CSV header
     starts with a byte-order mark; extra columns travel as JSON.  A Parquet failure
     is reported, not raised.
     """
@@ -39,12 +39,14 @@ def save_processed(rows: DataFrame, output_dir: str) -> Saved:
         flat.withColumnRenamed(first, BYTE_ORDER_MARK + first)
         .write.mode("overwrite")
         .option("header", True)
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(OUTPUT)
         .csv(csv_path)
     )
     error = None
     try:
-        named.write.mode("overwrite").partitionBy(OUTPUT).parquet(parquet_path)
+        writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(OUTPUT).parquet(parquet_path)
     except Exception as problem:
         error = str(problem)
     return Saved(csv_path, parquet_path, error is None, error)

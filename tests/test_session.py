@@ -41,7 +41,7 @@ def test_delimited_hashes(spark, tmp_path):
     row = out.ingested.rows.first()
     assert row.file_hash == hashlib.sha256(body.encode()).hexdigest()
     assert (row.file_name, row.total_amount_ars) == ("con espacio+.csv", 1234.5)
-    big = run_session(spark, str(tmp_path), "delimited", rules=RULES, max_hashed_bytes=10)
+    big = run_session(spark, str(tmp_path), "delimited", rules=RULES, hash_by="lines")
     other = big.ingested.rows.first().file_hash
     assert len(other) == 64 and other != row.file_hash
 
