@@ -199,8 +199,8 @@ def _sweep(batches, t: Totals, discounts, strength: float, seed: int, keep: bool
 
 
 def _sum_totals(state: DataFrame) -> Totals | None:
-    sums = state.select(F.posexplode("totals")).groupBy("pos").agg(F.sum("col").alias("n")).orderBy("pos").collect()
-    return Totals([r.n for r in sums]) if sums else None
+    sums = state.agg(*[F.sum(F.get("totals", F.lit(i))) for i in range(2 * CONTEXTS + 6)]).first()
+    return None if sums[0] is None else Totals(list(sums))
 
 
 class Model:
