@@ -28,7 +28,7 @@ class Session:
 def _delimited(
     spark: SparkSession, path: str | list[str], pattern: str, sep: str, hash_by: str
 ) -> tuple[DataFrame, DataFrame]:
-    records = read_records(spark, path, pattern)
+    records = read_records(spark, path, pattern, sep)
     if hash_by == "bytes":
         hashes = file_hashes(binary_files(spark, path, pattern))
     elif hash_by == "lines":

@@ -11,6 +11,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from salesloom.scratch import materialise
@@ -41,11 +42,12 @@ def text_lines(spark: SparkSession, path: str | list[str], pattern: str = "*.csv
 
 
 def split_fields(line: Column, sep: str = ",") -> Column:
-    """Fields of one record: quoted parts may hold separators, ``""`` is a quote."""
+    """Fields of one record: quoted fields may hold separators, ``""`` in them is a quote;
+    a quote inside a plain field is text."""
     s = re.escape(sep)
     quoted = '"(?:[^"]++|"")*+"'
     fields = F.regexp_extract_all(
-        F.concat(F.lit(sep), line), F.lit(f'{s}((?:{quoted}|[^{s}"]++|")*+)'), F.lit(1)
+        F.concat(F.lit(sep), line), F.lit(f'{s}((?:{quoted})?+[^{s}]*+)'), F.lit(1)
     )
     unquoted = lambda f: F.when(
         F.startswith(f, F.lit('"')),
@@ -89,32 +91,62 @@ def number_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def number_records(lines: DataFrame) -> DataFrame:
+def open_quotes(line: Column, sep: str = ",") -> tuple[Column, Column]:
+    """Whether a quoted field is open after the line: if none was before it, and if one was.
+
+    A quote opens a field only as its first character, so one inside a plain field is text.
+    """
+    s = re.escape(sep)
+    inside = '(?:[^"]++|"")*+'
+    field = f'(?:"{inside}"[^{s}]*+|(?!")[^{s}]*+)'
+    fresh = line.rlike(f'^(?:{field}{s})*+"{inside}\\z')
+    within = line.rlike(f'^{inside}(?:\\z|"[^{s}]*+(?:{s}{field})*+{s}"{inside}\\z)')
+    return fresh.cast("int"), within.cast("int")
+
+
+def _settled(rows: DataFrame, zero: str, one: str, window: WindowSpec) -> DataFrame:
+    """``rows`` with the state before and after each, for either state before the first: ``before_0``, ``after_0``,
+    ``before_1``, ``after_1``.  ``zero`` and ``one`` name the state after a row that begins in state 0 or 1.
+
+    A row keeps the state, turns it, or fixes it; so the last fixed state and the turns since decide.
+    """
+    prior = window.rowsBetween(W.unboundedPreceding, -1)
+    turn = (F.col(zero) > F.col(one)).cast("int")
+    rows = rows.withColumn("turns", F.sum(turn).over(window))
+    rows = rows.withColumn("fixed", F.when(F.col(zero) == F.col(one), (F.col(zero) + F.col("turns")) % 2))
+    last = lambda over: F.last("fixed", ignorenulls=True).over(over)
+    rows = rows.withColumns({"fixed_through": last(window), "fixed_before": last(prior)})
+    states = {}
+    for s in (0, 1):
+        states[f"before_{s}"] = (F.coalesce("fixed_before", F.lit(s)) + F.col("turns") - turn) % 2
+        states[f"after_{s}"] = (F.coalesce("fixed_through", F.lit(s)) + F.col("turns")) % 2
+    return rows.withColumns(states).drop("turns", "fixed", "fixed_through", "fixed_before")
+
+
+def number_records(lines: DataFrame, sep: str = ",") -> DataFrame:
     """Records whose quoted fields may run over several lines.
 
-    A line starts a record when the quotes before it are balanced.  Each split
-    counts its record starts for both possible states at its first line; a running
-    total over splits then settles the state.  Only lines of multi-line records are
+    A line starts a record when no quoted field is open before it.  Each split
+    counts its record starts for both possible states at its first line; a pass
+    over the splits' totals then settles the state.  Only lines of multi-line records are
     grouped again.
     """
     in_split = W.partitionBy(*SPLIT).orderBy("line_id")
-    quotes = F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
-    marked = (
-        lines.withColumn("odd", quotes % 2)
-        .withColumn("odd_through", F.sum("odd").over(in_split))
-        .withColumn("parity", (F.col("odd_through") - F.col("odd")) % 2)
-        .withColumn("starts_0", F.sum((F.col("parity") == 0).cast("long")).over(in_split))
-        .withColumn("starts_1", F.sum((F.col("parity") == 1).cast("long")).over(in_split))
+    zero, one = open_quotes(F.col("line"), sep)
+    marked = _settled(lines.withColumns({"zero": zero, "one": one}), "zero", "one", in_split)
+    starts = {f"starts_{s}": F.sum((F.col(f"before_{s}") == 0).cast("long")).over(in_split) for s in (0, 1)}
+    marked = marked.withColumns(starts)
+    ends = marked.groupBy(*SPLIT).agg(
+        F.max_by("after_0", "line_id").alias("end_0"),
+        F.max_by("after_1", "line_id").alias("end_1"),
+        F.max("starts_0").alias("total_0"),
+        F.max("starts_1").alias("total_1"),
     )
+    by_state = lambda c: F.when(F.col("state") == 0, F.col(f"{c}_0")).otherwise(F.col(f"{c}_1"))
     splits = (
-        marked.groupBy(*SPLIT)
-        .agg(
-            F.sum("odd").alias("odd_total"),
-            F.max("starts_0").alias("total_0"),
-            F.max("starts_1").alias("total_1"),
-        )
-        .withColumn("state", _before("odd_total") % 2)
-        .withColumn("starts", F.when(F.col("state") == 0, F.col("total_0")).otherwise(F.col("total_1")))
+        _settled(ends, "end_0", "end_1", W.partitionBy("file_path").orderBy("split_start"))
+        .withColumn("state", F.col("before_0"))
+        .withColumn("starts", by_state("total"))
         .withColumn("before", _before("starts"))
         .select(*SPLIT, "state", "before")
     )
@@ -122,13 +154,9 @@ def number_records(lines: DataFrame) -> DataFrame:
         *SPLIT,
         "line_id",
         "line",
-        (
-            F.col("before")
-            + F.when(F.col("state") == 0, F.col("starts_0")).otherwise(F.col("starts_1"))
-            - 1
-        ).alias("row_idx"),
-        (F.col("parity") == F.col("state")).alias("opens"),
-        (F.col("odd_through") % 2 == F.col("state")).alias("closes"),
+        (F.col("before") + by_state("starts") - 1).alias("row_idx"),
+        (by_state("before") == 0).alias("opens"),
+        (by_state("after") == 0).alias("closes"),
     )
     whole = F.col("opens") & F.col("closes")
     single = placed.filter(whole).select("file_path", "row_idx", F.col("line").alias("record"))
@@ -147,17 +175,16 @@ def number_records(lines: DataFrame) -> DataFrame:
 
 
 def read_records(
-    spark: SparkSession, path: str | list[str], pattern: str = "*.csv"
+    spark: SparkSession, path: str | list[str], pattern: str = "*.csv", sep: str = ","
 ) -> DataFrame:
     """(file_path, row_idx, record) of every text file under ``path``.
 
     Lines are written to scratch once, so that both passes see the same splits.
-    The multi-line path runs only when some line has an unbalanced quote.
+    The multi-line path runs only when some line leaves a quoted field open.
     """
     lines = materialise(text_lines(spark, path, pattern), "lines")
-    unbalanced = F.regexp_count("line", F.lit('"')) % 2 == 1
-    multi = not lines.filter(unbalanced).isEmpty()
-    return (number_records if multi else number_lines)(lines)
+    multi = not lines.filter(open_quotes(F.col("line"), sep)[0] == 1).isEmpty()
+    return number_records(lines, sep) if multi else number_lines(lines)
 
 
 def grid_of_records(records: DataFrame, sep: str = ",") -> DataFrame:
@@ -176,4 +203,4 @@ def read_delimited(
     spark: SparkSession, path: str | list[str], sep: str = ",", pattern: str = "*.csv"
 ) -> DataFrame:
     """Grid of every delimited file under ``path``."""
-    return grid_of_records(read_records(spark, path, pattern), sep)
+    return grid_of_records(read_records(spark, path, pattern, sep), sep)

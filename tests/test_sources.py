@@ -1,3 +1,5 @@
+import csv
+import io
 import datetime as dt
 import hashlib
 import random
@@ -13,6 +15,7 @@ from salesloom.sinks.processed import save_processed
 from salesloom.sources.delimited import (
     number_lines,
     number_records,
+    read_records,
     read_delimited,
     split_fields,
     text_lines,
@@ -171,3 +174,19 @@ def test_fingerprint_depends_on_order_and_text(spark, tmp_path):
     prints = line_fingerprints(number_lines(text_lines(spark, str(tmp_path))))
     got = {r.file_path[-5:]: r.file_hash for r in prints.collect()}
     assert got["a.csv"] == got["b.csv"] != got["c.csv"]
+
+
+def test_a_quote_inside_a_plain_field_is_text(spark, tmp_path):
+    body = '1,5" pipe,x\n2,"a ""b""\nc, ""d",y\n3,6" pipe,"z\n\n"\n4,7" rod,8" rod\n5,"",w\n'
+    (tmp_path / "a.csv").write_text(body)
+    want = list(csv.reader(io.StringIO(body)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        records = read_records(spark, str(tmp_path)).withColumn("f", split_fields(F.col("record"))).orderBy("row_idx")
+        rows = records.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.row_idx for r in rows] == list(range(5))
+    assert [r.f for r in rows] == want
