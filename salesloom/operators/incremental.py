@@ -32,13 +32,18 @@ def keep_last(df: DataFrame, key: str, order: list[str], null_scope=None) -> Dat
     return keep_one(df, key, [F.col(c).desc() for c in order], null_scope)
 
 
+def _staged_keys(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
+    """Keys of the target's rows that are staged too; Spark broadcasts the staged side when it is small."""
+    return target.select(key).join(staged.select(key).distinct(), key, "left_semi")
+
+
 def new_rows(staged: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """Staged rows whose key the target lacks; null keys never match, so they stay.
 
-    Only the target's key column is read, and it is made distinct first: repeated
-    target keys combine map-side instead of piling up in one join task.
+    Only the target's key column is read, and cut to the staged keys before it is made
+    distinct: with a small staged side the target is not shuffled.
     """
-    known = target.select(key).filter(F.col(key).isNotNull()).distinct()
+    known = _staged_keys(target, staged, key).distinct()
     return staged.join(known, key, "left_anti").select(*staged.columns)
 
 
@@ -50,12 +55,10 @@ def insert_only_merge(target: DataFrame, staged: DataFrame, key: str) -> DataFra
 def existing_pairs(staged: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """(key, pairs): staged keys the target holds, and in how many rows.
 
-    The target is counted per key before the join, so the join itself is one row
-    per key on the target side.
+    The target is cut to the staged keys and counted per key before the join, so the
+    join itself is one row per key on the target side.
     """
-    per_key = (
-        target.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("pairs"))
-    )
+    per_key = _staged_keys(target, staged, key).groupBy(key).agg(F.count("*").alias("pairs"))
     return staged.select(key).join(per_key, key)
 
 

@@ -144,3 +144,16 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
         merge_batch(batch, number, path, "k", ["n"])
     got = sorted((-1 if r.k is None else r.k, r.n) for r in spark.read.parquet(path).collect())
     assert got == [(-1, 2), (-1, 6), (1, 1), (2, 3), (5, 5)]
+
+
+def test_a_small_load_does_not_shuffle_the_target(spark, tmp_path):
+    spark.range(50_000).selectExpr("cast(id as string) sale_id").write.parquet(str(tmp_path / "t"))
+    spark.range(49_990, 50_010).selectExpr("cast(id as string) sale_id").write.parquet(str(tmp_path / "s"))
+    target, staged = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    for df, rows in ((I.new_rows(staged, target, "sale_id"), 10), (I.existing_pairs(staged, target, "sale_id"), 10)):
+        assert df.count() == rows
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = next(k for k, line in enumerate(plan.splitlines()) if "FileScan" in line and f"{tmp_path}/t" in line)
+        above = plan.splitlines()[:scan]
+        near = max(k for k, line in enumerate(above) if "LeftSemi" in line)
+        assert "BroadcastHashJoin" in above[near] and not any("Exchange hash" in line for line in above[near:scan])
