@@ -13,6 +13,7 @@ from salesloom.operators.conform import cast_declared
 from salesloom.scratch import materialise
 
 PARTITION = "load_date"
+FILE = ["load_id", "session_load_id", "file_name", "file_hash", "loaded_at"]
 
 
 @dataclass(frozen=True)
@@ -73,12 +74,16 @@ AUDIT_SCHEMA = (
 )
 
 
-def append_audit(report: DataFrame, sheets: DataFrame | None, tables: Tables) -> None:
-    """One audit row per loaded file, and one per rejected sheet with its reason."""
+def append_audit(
+    report: DataFrame, sheets: DataFrame | None, tables: Tables, kept_out: DataFrame | None = None
+) -> None:
+    """One audit row per loaded file, one per file ``kept_out``, and one per rejected sheet with its reason."""
     spark = report.sparkSession
     spark.sql(f"CREATE TABLE IF NOT EXISTS {tables.audit} ({AUDIT_SCHEMA}) USING parquet")
     columns = spark.table(tables.audit).columns
-    entries = report.select(*columns)
+    entries = spark.table(tables.audit).limit(0).unionByName(report.select(*[c for c in columns if c in report.columns]), allowMissingColumns=True)
+    if kept_out is not None:
+        entries = entries.unionByName(kept_out, allowMissingColumns=True)
     if sheets is not None:
         refused = sheets.filter(F.col("status") != "accepted").select(
             "load_id",
@@ -93,6 +98,10 @@ def append_audit(report: DataFrame, sheets: DataFrame | None, tables: Tables) ->
     entries.select(*columns).write.mode("append").insertInto(tables.audit)
 
 
+def _sheets():
+    return F.array_join(F.array_sort(F.collect_set("source_sheet")), ",").alias("source_sheet")
+
+
 def load_incremental(
     rows: DataFrame,
     config: Config | None = None,
@@ -104,12 +113,20 @@ def load_incremental(
 
     Only the staged key range of the target's key column is read.  A rerun after a
     crash is safe: staging is replaced and known keys are not inserted again.
+
+    With ``strict_extras`` a file with unknown columns is kept out as a whole and audited
+    as rejected; when no file is left, that is audited before the load is refused.
     """
     config = config or Config()
+    spark = rows.sparkSession
+    arrived, kept_out = rows.select("load_id").distinct(), None
     if strict_extras:
-        rows = rows.filter(F.coalesce(F.size("extras"), F.lit(0)) <= 0)
+        unknown = rows.filter(F.size("extras") > 0).groupBy(*FILE).agg(_sheets())
+        kept_out = materialise(unknown.withColumn("status", F.lit("rejected: unknown columns")), "kept_out")
+        rows = rows.join(kept_out.select("load_id"), "load_id", "left_anti").select(*rows.columns)
+        if rows.isEmpty() and not kept_out.isEmpty():
+            append_audit(kept_out, sheets, tables)
     _check(rows, tables.key)
-    spark = rows.sparkSession
     create_if_absent(spark, tables.target, config)
     staged = stage(rows, config, tables)
 
@@ -119,12 +136,8 @@ def load_incremental(
     target = I.within(spark.table(tables.target), tables.key, span.low, span.high)
     pairs = materialise(I.existing_pairs(staged, target, tables.key), "pairs")
     counts = I.load_counts(rows, staged, pairs, tables.key, "load_id")
-    files = rows.groupBy("load_id", "session_load_id", "file_name", "file_hash", "loaded_at").agg(
-        F.array_join(F.array_sort(F.collect_set("source_sheet")), ",").alias("source_sheet")
-    )
+    files = rows.groupBy(*FILE).agg(_sheets())
     report = counts.join(files, "load_id").withColumn("status", F.lit("loaded"))
     append_clustered(staged.join(pairs, tables.key, "left_anti").select(*staged.columns), tables)
-    append_audit(report, sheets, tables)
-    return spark.table(tables.audit).join(
-        rows.select("load_id").distinct(), "load_id", "left_semi"
-    )
+    append_audit(report, sheets, tables, kept_out)
+    return spark.table(tables.audit).join(arrived, "load_id", "left_semi")

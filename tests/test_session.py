@@ -32,6 +32,8 @@ def test_strict_extras_keep_such_files_out(spark, tmp_path):
     tables = Tables("st_sales", "st_load", "st_audit")
     run_session(spark, str(tmp_path), rules=RULES, tables=tables, strict_extras=True)
     assert [r.sale_id for r in spark.table("st_sales").collect()] == ["1"]
+    audit = {r.file_name: (r.status, r.rows_inserted) for r in spark.table("st_audit").collect()}
+    assert audit == {"a.xlsx": ("loaded", 1), "b.xlsx": ("rejected: unknown columns", None)}
 
 
 def test_delimited_hashes(spark, tmp_path):
