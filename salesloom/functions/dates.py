@@ -44,6 +44,9 @@ CLOCK = (
     "(?:[t ]+([0-9]{1,2})(?::([0-9]{2})(?::([0-9]{2})(?:\\.([0-9]{1,9}))?)?)?"
     " ?([ap]m)?(z|[+-][0-9]{2}:?[0-9]{2})?)?\\z"
 )
+# A bare number after a date that names its month is no hour.
+NAMED_CLOCK = "(?![t ]+[0-9]{1,2}\\z)" + CLOCK
+WEEKDAY = "(?:(?:mon|tue|tues|wed|wednes|thu|thur|thurs|fri|sat|satur|sun)(?:day)?\\.?,? )?"
 LONG, SHORT, ORDERED, GUESSED = "long", "short", "ymd", "any"
 # Layout tag, pattern, and where year | month | day | hour | minute | second |
 # fraction | am-pm | zone sit in it.  The first pattern that fits decides.
@@ -59,8 +62,10 @@ LAYOUTS = (
     (ORDERED, "^([0-9]{4})([0-9]{2})([0-9]{2})\\z", "$1|$2|$3||||||"),
     (ORDERED, "^([0-9]{4})(?:-([0-9]{1,2}))?\\z", "$1|$2|1||||||"),
     (ORDERED, "^([0-9]{1,2})/([0-9]{4})\\z", "$2|$1|1||||||"),
-    (ORDERED, f"^([0-9]{{1,2}})[ -]{ENGLISH_WORD}[ -]([0-9]{{4}}|[0-9]{{2}})\\z", "$3|$2|$1||||||"),
-    (ORDERED, f"^{ENGLISH_WORD} ([0-9]{{1,2}}),? ([0-9]{{4}})\\z", "$3|$1|$2||||||"),
+    (ORDERED, f"^{WEEKDAY}([0-9]{{1,2}})[ /-]{ENGLISH_WORD}[ /-]([0-9]{{4}}|[0-9]{{2}})" + NAMED_CLOCK,
+     "$3|$2|$1|$4|$5|$6|$7|$8|$9"),
+    (ORDERED, f"^{WEEKDAY}{ENGLISH_WORD} ([0-9]{{1,2}}),? ([0-9]{{4}})" + NAMED_CLOCK,
+     "$3|$1|$2|$4|$5|$6|$7|$8|$9"),
     (ORDERED, f"^{ENGLISH_WORD} ([0-9]{{4}})\\z", "$2|$1|1||||||"),
 )
 

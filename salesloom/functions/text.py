@@ -35,8 +35,8 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
     Returns (from, to, wide): ``from``/``to`` feed ``translate`` (combining marks
     sit at the end of ``from`` with no partner, so they are deleted); ``wide``
-    holds characters that become several.  Precomposed Hangul is left alone: it
-    never yields a letter that any pattern or alias here can match.
+    holds characters that become several, but for Hangul syllables, whose parts
+    follow from their number (:func:`_syllable`).
     """
     narrow_from, narrow_to, dropped, wide = [], [], [], {}
     for cp in range(128, sys.maxunicode + 1):
@@ -64,7 +64,7 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 @lru_cache(maxsize=1)
 def _wide_class() -> str:
     """Regex character class of the characters that decompose into several."""
-    points = sorted(map(ord, _fold_tables()[2]))
+    points = sorted([*map(ord, _fold_tables()[2]), *HANGUL])
     spans, start = [], points[0]
     for here, following in zip(points, points[1:] + [None]):
         if following != here + 1:
@@ -73,6 +73,15 @@ def _wide_class() -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
 
 
+def _syllable(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable, by the rule of their code points."""
+    first, vowel, last = ("".join(map(chr, part)) for part in (range(0x1100, 0x1113), range(0x1161, 0x1176), range(0x11A8, 0x11C3)))
+    place = F.ascii(char) - HANGUL[0]
+    one = lambda letters, at: F.substr(F.lit(letters), at.cast("int"), F.lit(1))
+    end = F.when(place % 28 == 0, F.lit("")).otherwise(one(last, place % 28))
+    return F.concat(one(first, F.floor(place / 588) + 1), one(vowel, F.floor(place % 588 / 28) + 1), end)
+
+
 def normalize_value(value: str) -> str:
     """:func:`normalize_text` for one configuration string on the driver."""
     folded = unicodedata.normalize("NFKD", value.strip().lower())
@@ -99,7 +108,11 @@ def strip_accents(c: Column) -> Column:
     packed = PAIR_END.join(k + PAIR_MIDDLE + v for k, v in wide.items())
     pairs = F.str_to_map(F.lit(packed), F.lit(PAIR_END), F.lit(PAIR_MIDDLE))
     widened = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(F.try_element_at(pairs, ch), ch)), ""
+        F.transform(
+            F.split(c, ""),
+            lambda ch: F.when(ch.between(chr(HANGUL[0]), chr(HANGUL[-1])), _syllable(ch)).otherwise(F.coalesce(F.try_element_at(pairs, ch), ch)),
+        ),
+        "",
     )
     spread = F.when(c.rlike(UNUSUAL) & c.rlike(_wide_class()), widened).otherwise(c)
     return fold(spread)
