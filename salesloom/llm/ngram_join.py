@@ -217,9 +217,12 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
 
     ``groups(group, node)``: any two linked nodes share a group. ``segments``: the sets."""
     found, roots = None, None
-    groups = _merged(materialise(_open(groups, None), "shared"))
+    shared = materialise(_open(groups, None), "shared")
+    discard(groups)
+    groups = _merged(shared)
     while True:
-        groups = materialise(_open(groups, roots), "groups")
+        before, groups = groups, materialise(_open(groups, roots), "groups")
+        discard(before)
         if groups.isEmpty():
             return roots
         sides = groups.join(segments, "node")
