@@ -16,7 +16,8 @@ into fragments, and each document's set into the segments that fall into them.
    or more; sharing differences only brings them closer. So every node whose slack allows it is linked
    to the node of the largest slack, and a node whose slack doesn't can only be linked to one with which
    it shares a difference. Those that do form the next round's groups, each at most half as large,
-   as a difference is one that most members haven't; groups within one component are done.
+   as a difference is one that most members haven't; groups within one component are done. They compare
+   the differences from the middle instead of the sets: two nodes' differ in as many n-grams as their sets.
 
 A segment may be empty. Empty segments count as shared only for documents with so many of them that
 no other shared segment is guaranteed; there are more fragments than needed, so those are rare.
@@ -44,6 +45,7 @@ from salesloom.llm.words import U64, Batch, gram_hashes, gram_starts, mixed, spl
 from salesloom.scratch import discard, materialise
 
 _COUNTED = 4  # fragments in which overlaps are counted
+_TOGETHER = 32  # nodes of a group whose sets meet in one task, fragment by fragment
 
 
 def shingle_sets(piece: Batch, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,10 +193,9 @@ def _rooted(df: DataFrame, roots: DataFrame | None) -> DataFrame:
 
 
 def _open(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(group, node, members) of the groups that lie in several components; of groups with the same
-    members one."""
-    groups = _rooted(groups, roots)
-    ends = groups.groupBy("group").agg(
+    """The rows of the groups that lie in several components, with their number of ``members``; of
+    groups with the same members one."""
+    ends = _rooted(groups.select("group", "node"), roots).groupBy("group").agg(
         F.count("*").alias("members"),
         F.min("root").alias("a"),
         F.max("root").alias("z"),
@@ -202,7 +203,7 @@ def _open(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
         F.bit_xor(F.xxhash64("node")).alias("y"),
     )
     same = ends.where("a < z").groupBy("members", "x", "y").agg(F.min("group").alias("group"))
-    return groups.join(same.select("group", "members"), "group").select("group", "node", "members")
+    return groups.join(same.select("group", "members"), "group")
 
 
 def _merged(groups: DataFrame) -> DataFrame:
@@ -212,6 +213,74 @@ def _merged(groups: DataFrame) -> DataFrame:
     return groups.join(first, "group").select(F.col("first").alias("group"), "node").distinct()
 
 
+_UNLIKE = "group long, node long, fragment int, differ int, grams array<long>"
+
+
+def _from_middle(rows: pa.Table) -> pa.RecordBatch:
+    """What each row's grams and the middle of its group and fragment, all of whose rows are here, don't share."""
+    group, fragment = (rows.column(c).to_numpy() for c in ("group", "fragment"))
+    lists = rows.column("grams").combine_chunks()
+    values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+    place = np.concatenate(([0], np.cumsum((group[1:] != group[:-1]) | (fragment[1:] != fragment[:-1]))))
+    members = np.bincount(place)
+    holder = np.repeat(np.arange(len(group)), sizes)
+    order = np.lexsort((values, place[holder]))
+    where, what = place[holder][order], values[order]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(what), 1), bool), (where[1:] != where[:-1]) | (what[1:] != what[:-1]))))
+    times = np.diff(np.append(first, len(what)))
+    run = np.empty(len(what), np.int64)
+    run[order] = np.repeat(np.arange(len(first)), times)
+    # Each gram of the middle once for every row of its group and fragment: no more than twice what the rows hold.
+    middle = np.flatnonzero(2 * times > members[where[first]])
+    copies = members[where[first[middle]]]
+    begin = (np.cumsum(members) - members)[where[first[middle]]]
+    row = np.repeat(begin - np.concatenate(([0], np.cumsum(copies)[:-1])), copies) + np.arange(copies.sum()) if len(middle) else middle
+    pairs = np.sort(np.concatenate((holder * len(first) + run, row * len(first) + np.repeat(middle, copies))))
+    new = np.concatenate((np.ones(1, bool), pairs[1:] != pairs[:-1], np.ones(1, bool)))
+    pairs = pairs[new[:-1] & new[1:]] if len(pairs) else pairs
+    row = pairs // max(len(first), 1)
+    differ = np.bincount(row, minlength=len(group))
+    # With fewer than four members no two share a difference.
+    told = (members[place] > 3)[row]
+    ends = np.concatenate(([0], np.cumsum(np.bincount(row[told], minlength=len(group)))))
+    grams = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(what[first[pairs[told] % max(len(first), 1)]], pa.int64()))
+    columns = [rows.column(c).combine_chunks() for c in ("group", "node", "fragment")] + [pa.array(differ, pa.int32()), grams]
+    return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _UNLIKE.split(", ")])
+
+
+def _from_middles(batches) -> Iterator[pa.RecordBatch]:
+    """``_from_middle`` of rows that come ordered by group and fragment."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([rest, rows]) if rest else rows
+        group, fragment = (rows.column(c).to_numpy() for c in ("group", "fragment"))
+        ends = np.flatnonzero((group[1:] != group[:-1]) | (fragment[1:] != fragment[:-1])) + 1
+        cut = int(ends[-1]) if len(ends) else 0
+        if cut:
+            yield _from_middle(rows.slice(0, cut))
+        rest = rows.slice(cut)
+    if rest:
+        yield _from_middle(rest)
+
+
+def _unlike(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """(group, node, fragment, differ, grams): how many grams of a fragment a node and its group's middle don't
+    share, and which, for groups of four or more.
+
+    The rows of a group of up to ``_TOGETHER`` nodes meet as they are; larger groups count their grams first."""
+    few = groups.where(F.col("members") <= _TOGETHER).join(sets, ["parent", "node"])
+    few = few.select("group", "node", "fragment", "grams").repartition("group", "fragment").sortWithinPartitions("group", "fragment")
+    many = groups.where(F.col("members") > _TOGETHER).join(sets, ["parent", "node"])
+    counted = many.select("group", "fragment", "members", F.explode("grams").alias("gram")).groupBy("group", "fragment", "gram", "members").count()
+    middle = counted.where("2 * count > members").groupBy("group", "fragment").agg(F.collect_list("gram").alias("middle"))
+    middles = F.coalesce("middle", F.array().cast("array<bigint>"))
+    grams = F.concat(F.array_except("grams", middles), F.array_except(middles, "grams"))
+    many = many.join(middle, ["group", "fragment"], "left").select("group", "node", "fragment", grams.alias("grams"))
+    many = many.select("group", "node", "fragment", F.size("grams").alias("differ"), "grams")
+    return few.mapInArrow(_from_middles, _UNLIKE).unionAll(many)
+
+
 def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, percent: int) -> DataFrame | None:
     """(node, root) of the components of all linked pairs of ``nodes(node, size)``; None without any.
 
@@ -219,21 +288,19 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
     found, roots = None, None
     shared = materialise(_open(groups, None), "shared")
     discard(groups)
-    groups = _merged(shared)
+    groups = _merged(shared).withColumn("parent", F.lit(0).cast("long"))
+    # Later rounds compare what a node and the middle of the ``parent`` group don't share: as far apart as the sets.
+    sets = segments.withColumn("parent", F.lit(0).cast("long"))
     while True:
         before, groups = groups, materialise(_open(groups, roots), "groups")
         discard(before)
         if groups.isEmpty():
             return roots
-        sides = groups.join(segments, "node")
-        counted = sides.select("group", "fragment", "members", F.explode("grams").alias("gram")).groupBy("group", "fragment", "gram")
-        middle = counted.agg(F.count("*").alias("holders"), F.first("members").alias("members")).where("2 * holders > members")
-        middle = middle.groupBy("group", "fragment").agg(F.collect_list("gram").alias("middle"))
-        middles = F.coalesce("middle", F.array().cast("array<bigint>"))
-        unlike = F.concat(F.array_except("grams", middles), F.array_except(middles, "grams"))
-        unlike = materialise(sides.join(middle, ["group", "fragment"], "left").select("group", "node", unlike.alias("grams")), "unlike")
+        unlike = materialise(_unlike(groups, sets), "unlike")
+        discard(sets)
+        sets = unlike.select(F.col("group").alias("parent"), "node", "fragment", "grams")
         # Twice what a link may cost is shared out by size; what the distance leaves of it is the slack.
-        slack = unlike.groupBy("group", "node").agg(F.sum(F.size("grams")).alias("distance")).join(nodes, "node")
+        slack = unlike.groupBy("group", "node").agg(F.sum("differ").alias("distance")).join(nodes, "node")
         slack = slack.withColumn("slack", F.col("size") * (100 - percent) - F.col("distance") * (100 + percent))
         best = slack.groupBy("group").agg(F.max(F.struct("slack", "node")).alias("best"))
         slack = materialise(slack.join(best, "group").select("group", "node", "distance", (F.col("slack") + F.col("best.slack")).alias("left"), "best"), "slack")
@@ -243,7 +310,7 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         roots = components(found)
         # Who is too far from the middle for that can be linked only by shared differences from it, and needs
         # ``need`` of them with one other node: then two such nodes share one of their distance - need + 1 rarest.
-        still = _open(groups.select("group", "node"), roots).select("group").distinct()
+        still = _open(groups.select("group", "node"), roots).where("members > 3").select("group").distinct()
         need = F.greatest(F.lit(1), F.ceil(-F.col("left") / (2 * (100 + percent))))
         asked = slack.join(still, "group").select("group", "node", "distance", (F.col("distance") - need + 1).alias("prefix")).where("prefix > 0")
         shared = unlike.join(asked, ["group", "node"]).select("group", "node", "distance", "prefix", F.explode("grams").alias("gram"))
@@ -252,8 +319,8 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         mine = Window.partitionBy("group", "node")
         shared = shared.join(holders, ["group", "gram"]).withColumn("left", F.col("prefix") - F.col("distance") + F.count("*").over(mine))
         shared = shared.withColumn("rank", F.row_number().over(mine.orderBy("holders", "gram"))).where("rank <= left")
-        moved = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node"), "shared")
-        for table in (unlike, slack, groups):
+        moved = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node", F.col("group").alias("parent")), "shared")
+        for table in (slack, groups):
             discard(table)
         groups = moved
 
