@@ -170,6 +170,19 @@ def _segments(batches, n: int) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _both(batches) -> Iterator[np.ndarray]:
+    """Each row's key two times, so that a sketch marks it."""
+    for batch in batches:
+        yield np.repeat(batch.column("_row").to_numpy().view(U64), 2)
+
+
+def _among(batches, maps, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows that the sketch marks."""
+    for batch in batches:
+        marked = countmin.repeated(batch.column("_row").to_numpy().view(U64), maps.value, bits)
+        yield batch.filter(pa.array(marked))
+
+
 def _meetings(nodes: DataFrame) -> DataFrame:
     """(group, node): nodes in one group share a segment, and any two linked nodes are in one.
 
@@ -338,9 +351,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str
     nodes = nodes.agg(F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in ("n_shingles", "keys", "need", "next_keys", "next_need")])
     nodes = materialise(nodes.withColumnRenamed("n_shingles", "size"), "nodes")
     groups = materialise(_meetings(nodes), "meetings")
-    needed = nodes.join(groups.select("node").distinct(), "node", "left_semi").select("_row", F.col("node").alias("_node"))
-    segments = texts.select("_row", "text").join(needed, "_row").mapInArrow(lambda b: _segments(b, words), "node long, fragment int, grams array<long>")
-    segments = materialise(segments.dropDuplicates(["node", "fragment"]), "segments")
+    needed = materialise(nodes.join(groups.select("node").distinct(), "node", "left_semi").select("_row", F.col("node").alias("_node")), "needed")
+    # Only texts of needed rows, told by a bit map of fixed size, are shuffled; the join then cuts them to those exactly.
+    partial = needed.select("_row").mapInArrow(lambda b: countmin.sketch_partition(_both(b), bits, 1), countmin.SKETCHES)
+    maps = spark.sparkContext.broadcast(countmin.merged(partial, bits, 1)[0])
+    few = texts.select("_row", "text").mapInArrow(lambda b: _among(b, maps, bits), "_row long, text string")
+    segments = few.dropDuplicates(["_row"]).join(needed, "_row").mapInArrow(lambda b: _segments(b, words), "node long, fragment int, grams array<long>")
+    segments = materialise(segments, "segments")
+    maps.destroy()
     roots = linked_roots(nodes.select("node", "size"), groups, segments, percent)
     placed = _rooted(described.select("_id", "_row", "n_shingles", "node"), roots)
     placed = placed.withColumn("group", F.when(F.col("n_shingles") > 0, F.col("root")))
