@@ -52,8 +52,9 @@ def grouped(docs, n, percent):
     return sorted(((d, len(s), least.get(top(i)) if s else d) for i, ((d, _), s) in enumerate(zip(docs, sets, strict=True))), key=str)
 
 
-@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
-def test_near_duplicates(spark, n, percent):
+@pytest.mark.parametrize("n, percent, together", [(3, 90, 32), (5, 80, 32), (2, 75, 2)])
+def test_near_duplicates(spark, monkeypatch, n, percent, together):
+    monkeypatch.setattr(ngram_join, "_TOGETHER", together)
     random.seed(n)
     vocabulary, docs = [f"w{i}" for i in range(200)] + ["É", "A"], []
     for _ in range(8):
