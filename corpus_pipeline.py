@@ -25,7 +25,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def drop_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the boilerplate lines of their source."""
-    kept = line_dedup.dedup_lines(docs, "source").select(*docs.columns)
+    kept = line_dedup.drop_boilerplate(docs, "source").select(*docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -4,9 +4,10 @@ Method: site-relative frequency. Pages are grouped by host; the pages of the hos
 divided by the host's pages, and lines above ``ratio`` are boilerplate and dropped.
 
 Pages of a host with the same body count once, above and below the line, so copies of a page don't make
-its lines boilerplate. A line needs ``min_pages`` such pages, so small hosts lose nothing by chance. A page
-of which more than ``max_share`` of the lines are boilerplate is itself a copy, and stays whole: it is for
-the near-duplicate step to judge.
+its lines boilerplate. ``drop_boilerplate`` decides by the share alone: a line must be on two such pages,
+whatever the host's size. ``dedup_lines`` has a floor of ``min_pages`` such pages beside the ratio, which
+keeps lines of small hosts that the ratio alone drops. A page of which more than ``max_share`` of the lines
+are boilerplate stays whole.
 
 Scale: lines travel as 64-bit hashes. Counting is on (host, line, body) and then on (host, line), each
 with partial sums, so neither a hot host nor a common line meets in one task. Only pages that lose lines
@@ -61,3 +62,8 @@ def dedup_lines(docs: DataFrame, host: str | Column = "source", ratio: float = 0
     kept = F.filter(_lines("text"), lambda x: (F.trim(x) == "") | ~F.array_contains("_drop", F.xxhash64(F.trim(x))))
     text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     return marked.withColumn("text", text).select(*[f"`{c}`" for c in docs.columns], "n_lines", "n_dropped")
+
+
+def drop_boilerplate(docs: DataFrame, host: str | Column = "source", ratio: float = 0.05) -> DataFrame:
+    """``dedup_lines`` by the share alone: the same lines go on a host of ten pages and on one of thousands."""
+    return dedup_lines(docs, host, ratio, min_pages=2)

@@ -106,3 +106,12 @@ def test_lines(spark):
     assert got[100] == ("same line\nz", 2, 0)  # copies of one page count once
     assert got[200] == (None, 0, 0) and got[201] == ("same line", 1, 0) and got[202] == ("", 0, 0)
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+
+
+def test_lines_by_share_alone(spark):
+    docs = [(i, f"site{n}", ("header\n" if i % 5 == 0 else "") + f"u{i}\nv{i}\nw{i}") for n in (10, 50, 500) for i in range(n)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string").repartition(3)
+    got = line_dedup.drop_boilerplate(df).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        assert (r.text, r.n_dropped) == (f"u{r.doc_id}\nv{r.doc_id}\nw{r.doc_id}", int(r.doc_id % 5 == 0)), r.source
