@@ -5,9 +5,9 @@ divided by the host's pages, and lines above ``ratio`` are boilerplate and dropp
 
 Pages of a host with the same body count once, above and below the line, so copies of a page don't make
 its lines boilerplate. ``drop_boilerplate`` decides by the share alone: a line must be on two such pages,
-whatever the host's size. ``dedup_lines`` has a floor of ``min_pages`` such pages beside the ratio, which
-keeps lines of small hosts that the ratio alone drops. A page of which more than ``max_share`` of the lines
-are boilerplate stays whole.
+whatever the host's size, and goes from every page, also from one that has little else. ``dedup_lines`` has
+a floor of ``min_pages`` such pages beside the ratio, which keeps lines of small hosts that the ratio alone
+drops, and leaves a page whole of which more than ``max_share`` of the lines are boilerplate.
 
 Scale: lines travel as 64-bit hashes. Counting is on (host, line, body) and then on (host, line), each
 with partial sums, so neither a hot host nor a common line meets in one task. Only pages that lose lines
@@ -65,5 +65,6 @@ def dedup_lines(docs: DataFrame, host: str | Column = "source", ratio: float = 0
 
 
 def drop_boilerplate(docs: DataFrame, host: str | Column = "source", ratio: float = 0.05) -> DataFrame:
-    """``dedup_lines`` by the share alone: the same lines go on a host of ten pages and on one of thousands."""
-    return dedup_lines(docs, host, ratio, min_pages=2)
+    """``dedup_lines`` by the share alone: the same lines go on a host of ten pages and on one of thousands,
+    and from pages that are mostly boilerplate too."""
+    return dedup_lines(docs, host, ratio, min_pages=2, max_share=1.0)

@@ -115,3 +115,11 @@ def test_lines_by_share_alone(spark):
     assert len(got) == len(docs)
     for r in got:
         assert (r.text, r.n_dropped) == (f"u{r.doc_id}\nv{r.doc_id}\nw{r.doc_id}", int(r.doc_id % 5 == 0)), r.source
+
+
+def test_lines_of_pages_that_are_mostly_boilerplate(spark):
+    docs = [(i, "h", f"header\nu{i}\nheader\nfooter") for i in range(20)] + [(50, "h", "header\nfooter"), (51, "h", None)]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string")
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(df).collect()}
+    assert all(got[i] == (f"u{i}", 4, 3) for i in range(20))
+    assert got[50] == ("", 2, 2) and got[51] == (None, 0, 0)
