@@ -34,7 +34,8 @@ def _lines(text: str) -> Column:
 
 def _hashes(text: str) -> Column:
     """Hashes of the non-blank lines."""
-    return F.transform(F.filter(F.transform(_lines(text), F.trim), lambda x: x != ""), lambda x: F.xxhash64(x))
+    # F.trim itself would take the line's index as the characters to trim.
+    return F.transform(F.filter(F.transform(_lines(text), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
 def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:

@@ -123,3 +123,9 @@ def test_lines_of_pages_that_are_mostly_boilerplate(spark):
     got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(df).collect()}
     assert all(got[i] == (f"u{i}", 4, 3) for i in range(20))
     assert got[50] == ("", 2, 2) and got[51] == (None, 0, 0)
+
+
+def test_lines_are_compared_without_blanks_only(spark):
+    docs = [(i, "h", f" header  \n1u{i}1\nw{i}") for i in range(30)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
+    assert all((r.text, r.n_dropped) == (f"1u{r.doc_id}1\nw{r.doc_id}", 1) for r in got)
