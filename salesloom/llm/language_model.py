@@ -3,20 +3,19 @@
 Method: Chinese-restaurant seating sampled by Gibbs. Every context has a restaurant, whose customers are the
 tokens that follow it; each of its tables sends one customer to the parent that all contexts share, the
 restaurant of all words, whose own base is uniform over the training vocabulary and one unknown word. A sweep
-seats all customers of a word anew, given everyone else's tables; the probabilities predicted by the states
-after the burn-in are averaged, and a text's score is the log10 of the product over its tokens.
+seats all customers anew, given everyone else's tables; the probabilities predicted by the states after the
+burn-in are averaged, and a text's score is the log10 of the product over its tokens.
 
-A context is the class of the word before: one of 255 classes by the word's last two bytes, or the text's
-beginning. Classes are few enough for every restaurant to be well filled, and a seating needs only its own
-word's tables and the restaurants' totals. So the state is spread by word, a word's customers in all
-restaurants together, and a sweep is a map over it; only totals (two numbers a restaurant) pass the driver.
-Within a sweep totals are those of the sweep before, and customers beyond the 16th of a word are seated in
-groups of a sixteenth of those seated, with one binomial draw each.
+A context is the word before, or the text's beginning. Within a sweep totals are those of the sweep before, and
+customers of a word in a restaurant beyond the 16th are seated in groups of a sixteenth of those seated, with
+one binomial draw each.
 
-Scale: tokens are counted per task before they are shuffled, and scored by sending each task's distinct
-(word, context) to the word's shard with the rows they occur in; answers come back as sums per document.
-There are as many shards as half the shuffle partitions, and a very frequent word is one entry per task.
-Words are told apart by 56 bits of hash.
+Scale: the state is spread by the hash of (word before, word), so the pairs of a frequent word are on all shards.
+Pairs are counted per task before they are shuffled. After a sweep each shard sends one sum for each of its
+contexts and words to their nodes, and the nodes return the totals; five numbers pass the driver. A text is scored
+where it is read: each task's distinct pairs, contexts and words are looked up, without their rows, and the
+answers meet the rows again by flush (about a million tokens). Shards and nodes are as many as the bytes of the
+training texts ask for. Words and pairs are told apart by 64 bits of hash.
 
 Defined cases: A-Z are lower-cased; null and empty texts have the end token only; without training rows every
 token is unknown; a null id is held out; repeated rows are separate documents; extra columns are left out.
@@ -25,6 +24,7 @@ token is unknown; a null id is held out; repeated rows are separate documents; e
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,54 +36,69 @@ from salesloom.llm.frames import gaps, out, planes, rows_of, ungaps, unplanes
 from salesloom.llm.words import U64, Batch, mixed, split_words, text_batches, word_hashes
 from salesloom.scratch import discard, materialise
 
-CONTEXTS = 256
-_FLUSH = 2_000_000
-_END = U64(0x656E64 << 8)  # the end token's key; no text has it as a word
+_FLUSH = 1_000_000
+_SHARD_BYTES = 1 << 22  # of training text
+_BEGIN = U64(0x626567)  # the contexts and words that no text has
+_END = U64(0x656E64)
+_PAIR, _CONTEXT, _WORD, _HOME = 0, 1, 2, 3
 
-_COUNTS = pa.schema([("shard", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 
-
-def token_keys(piece: Batch) -> tuple[np.ndarray, np.ndarray]:
-    """Key (56 bits of word, 8 of context) and row of every token, ends included, row by row."""
+def token_keys(piece: Batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word before, word and row of every token, ends included, row by row."""
     words = split_words(piece, fold=True)
-    counts = words.counts
-    hashes = word_hashes(words) & ~U64(255)
-    last = words.data[words.end - 1].astype(U64) if len(words.end) else np.empty(0, U64)
-    before = np.where(words.end - words.start > 1, words.data[words.end - 2], 0).astype(U64) if len(words.end) else last
-    kind = mixed(last << U64(8) | before, 70) % U64(CONTEXTS - 1) + U64(1)
+    hashes = word_hashes(words)
     ptr = words.ptr + np.arange(len(words.ptr))
-    keys = np.full(ptr[-1], _END, U64)
+    own, before = np.full(ptr[-1], _END, U64), np.full(ptr[-1], _BEGIN, U64)
     at = np.arange(len(hashes)) + words.row
-    keys[at] = hashes
-    keys[at + 1] |= kind
-    return keys, np.repeat(np.arange(len(counts)), counts + 1)
+    own[at] = hashes
+    before[at + 1] = hashes
+    return before, own, np.repeat(np.arange(len(words.counts)), words.counts + 1)
+
+
+def pair_keys(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return mixed(mixed(before, 70) + own, 71)
 
 
 def _shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Ascending with the key, the same for all contexts of a word."""
+    """Ascending with the key."""
     return ((keys >> U64(32)) * U64(shards)) >> U64(32)
 
 
+def _cuts(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
+    """Each shard's slice of ascending keys."""
+    cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1, dtype=U64))
+    for k in np.flatnonzero(np.diff(cuts)):
+        yield int(k), slice(cuts[k], cuts[k + 1])
+
+
 def _distinct(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
 
 
+def _raw(content: bytes) -> np.ndarray:
+    return np.frombuffer(content, U64)
+
+
+_COUNTS = pa.schema([("shard", pa.int32()), ("before", pa.binary()), ("words", pa.binary()), ("counts", pa.binary())])
+
+
 def _count(batches, shards: int) -> Iterator[pa.RecordBatch]:
     def flush(held):
-        keys = np.sort(np.concatenate(held))
+        before, own = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys = pair_keys(before, own)
+        order = np.argsort(keys)
+        keys = keys[order]
         new = _distinct(keys)
         counts = np.diff(np.append(new, len(keys))).astype(np.uint32)
-        keys = keys[new]
-        cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1, dtype=U64))
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = slice(cuts[k], cuts[k + 1])
-            yield out(_COUNTS, shard=[int(k)], keys=[gaps(keys[own])], counts=[planes(counts[own])])
+        keys, first = keys[new], order[new]
+        for k, at in _cuts(keys, shards):
+            yield out(_COUNTS, shard=[k], before=[before[first[at]].tobytes()], words=[own[first[at]].tobytes()], counts=[planes(counts[at])])
 
     held, size = [], 0
     for batch in batches:
         for piece in text_batches(batch.column("text")):
-            held.append(token_keys(piece)[0])
-            size += len(held[-1])
+            held.append(token_keys(piece)[:2])
+            size += len(held[-1][0])
             if size >= _FLUSH:
                 yield from flush(held)
                 held, size = [], 0
@@ -91,52 +106,81 @@ def _count(batches, shards: int) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
-# A shard of the state: its (word, context) keys in ascending order, their customers and tables, and of the samples
-# kept so far the tables summed and each word's customers and tables in the parent.
-_STATE = "shard int, keys binary, customers binary, tables binary, top_tables binary, summed binary, samples binary, totals array<double>"
-_STATE_SCHEMA = pa.schema(
-    [("shard", pa.int32()), *[(n, pa.binary()) for n in ("keys", "customers", "tables", "top_tables", "summed", "samples")], ("totals", pa.list_(pa.float64()))]
-)
+# A shard of the state: its contexts and words in ascending order, its pairs as indexes into them by ascending key,
+# their customers and tables, the tables of the samples kept so far summed, each of its words' tables in the parent,
+# and how many counts are 1 and 2.
+_FIXED = ["shard", "contexts", "vocabulary", "before", "words", "customers", "ones", "twos"]
+_STATE = "shard int, contexts binary, vocabulary binary, before binary, words binary, customers binary, ones long, twos long, tables binary, summed binary, top binary"
+_KINDS = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+_STATE_SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in _STATE.split(", "))])
 
 
-def _words(keys: np.ndarray) -> np.ndarray:
-    """Where each word's keys begin."""
-    return _distinct(keys >> U64(8))
-
-
-def _totals(keys, customers, tables, top_tables) -> list[float]:
-    """Customers and tables of each restaurant, the parent's tables, words, and how many counts are 1 and 2 on either level."""
-    context = (keys & U64(255)).astype(np.int64)
-    top = np.add.reduceat(tables, _words(keys)) if len(keys) else tables
-    ends = [top_tables.sum(), len(top), (customers == 1).sum(), (customers == 2).sum(), (top == 1).sum(), (top == 2).sum()]
-    return [*np.bincount(context, customers, CONTEXTS), *np.bincount(context, tables, CONTEXTS), *map(float, ends)]
+def _state(fixed: dict, tables, summed, top) -> pa.Table:
+    columns = {n: [fixed[n]] for n in _FIXED}
+    return pa.Table.from_batches([out(_STATE_SCHEMA, **columns, tables=[planes(tables)], summed=[planes(summed)], top=[planes(top)])])
 
 
 def _opened(table: pa.Table) -> pa.Table:
     """A shard's first state: one table for each word in each restaurant."""
     parts = list(rows_of(table.to_batches()))
-    keys = np.concatenate([ungaps(p["keys"], np.uint64) for p in parts])
+    before, own = (np.concatenate([_raw(p[c]) for p in parts]) for c in ("before", "words"))
     counts = np.concatenate([unplanes(p["counts"], np.uint32) for p in parts]).astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    new = _distinct(keys)
-    counts, keys = np.add.reduceat(counts[order], new), keys[new]
-    tables, top = np.ones(len(keys), np.int64), np.ones(len(_words(keys)), np.int64)
-    return pa.Table.from_batches([_state(parts[0]["shard"], keys, counts, tables, top, np.zeros(len(keys), np.int64), b"")])
-
-
-def _state(shard, keys, customers, tables, top, summed, samples) -> pa.RecordBatch:
-    return out(
-        _STATE_SCHEMA,
-        shard=[shard],
-        keys=[gaps(keys)],
-        customers=[planes(customers)],
-        tables=[planes(tables)],
-        top_tables=[planes(top)],
-        summed=[planes(summed)],
-        samples=[samples],
-        totals=[_totals(keys, customers, tables, top)],
-    )
+    keys = pair_keys(before, own)
+    order = np.argsort(keys)
+    new = _distinct(keys[order])
+    customers, first = np.add.reduceat(counts[order], new), order[new]
+    contexts, context = np.unique(before[first], return_inverse=True)
+    vocabulary, word = np.unique(own[first], return_inverse=True)
+    fixed = {"shard": parts[0]["shard"], "contexts": gaps(contexts), "vocabulary": gaps(vocabulary), "customers": planes(customers)}
+    fixed |= {"before": planes(context.astype(np.uint32)), "words": planes(word.astype(np.uint32))}
+    fixed |= {"ones": int((customers == 1).sum()), "twos": int((customers == 2).sum())}
+    return _state(fixed, np.ones(len(first), np.int64), np.zeros(len(first), np.int64), np.ones(len(vocabulary), np.int64))
+
+
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, values, size).astype(np.int64)
+
+
+_SENT = "kind int, node int, shard int, keys binary, customers binary, tables binary, top binary"
+_SENT_SCHEMA = pa.schema([("kind", pa.int32()), ("node", pa.int32()), ("shard", pa.int32()), *[(n, pa.binary()) for n in ("keys", "customers", "tables", "top")]])
+
+
+def _send(batches, nodes: int) -> Iterator[pa.RecordBatch]:
+    """A shard's sums of each of its contexts and words, by node."""
+    for row in rows_of(batches):
+        customers, tables, top = (unplanes(row[c], np.int64) for c in ("customers", "tables", "top"))
+        for kind, names, column in ((_CONTEXT, "contexts", "before"), (_WORD, "vocabulary", "words")):
+            keys, at = ungaps(row[names], np.uint64), unplanes(row[column], np.uint32)
+            sums = [_sums(at, x, len(keys)) for x in (customers, tables)]
+            more = top if kind == _WORD else np.zeros(len(keys), np.int64)
+            for k, own in _cuts(keys, nodes):
+                yield out(_SENT_SCHEMA, kind=[kind], node=[k], shard=[row["shard"]], keys=[gaps(keys[own])], customers=[planes(sums[0][own])], tables=[planes(sums[1][own])], top=[planes(more[own])])
+
+
+# What a node returns to each shard (tables, top, in the order of the keys sent), and its whole table as shard -1.
+_NODES = _SENT + ", totals array<double>"
+_NODES_SCHEMA = _SENT_SCHEMA.append(pa.field("totals", pa.list_(pa.float64())))
+
+
+def _total(table: pa.Table, t: Totals | None, discount: float, strength: float, seed: int) -> pa.Table:
+    parts = list(rows_of(table.to_batches()))
+    kind, node = parts[0]["kind"], parts[0]["node"]
+    each = [ungaps(p["keys"], np.uint64) for p in parts]
+    keys, at = np.unique(np.concatenate(each), return_inverse=True)
+    customers, tables = (_sums(at, np.concatenate([unplanes(p[c], np.int64) for p in parts]), len(keys)) for c in ("customers", "tables"))
+    top = np.zeros(len(keys), np.int64)
+    top[at] = np.concatenate([unplanes(p["top"], np.int64) for p in parts])
+    if kind == _WORD and t is not None:
+        rng = np.random.default_rng([seed, node])
+        top = seat(rng, tables, t.top_tables - top, np.full(len(keys), 1 / (t.words + 1)), discount, strength)
+    totals = [customers.sum(), tables.sum(), top.sum(), len(keys), (tables == 1).sum(), (tables == 2).sum()]
+    whole = out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[-1], keys=[gaps(keys)], customers=[planes(customers)], tables=[planes(tables)], top=[planes(top)], totals=[list(map(float, totals))])
+    back, begin = [whole], 0
+    for p, own in zip(parts, each, strict=True):
+        mine = at[begin : begin + len(own)]
+        begin += len(own)
+        back.append(out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[p["shard"]], keys=[None], customers=[None], tables=[planes(tables[mine])], top=[planes(top[mine])], totals=[None]))
+    return pa.Table.from_batches(back)
 
 
 def seat(rng, customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float) -> np.ndarray:
@@ -159,15 +203,12 @@ class Totals:
     """The model's totals after a sweep."""
 
     def __init__(self, values: list[float]):
-        self.customers, self.tables = np.array(values[:CONTEXTS]), np.array(values[CONTEXTS : 2 * CONTEXTS])
-        self.top_tables, self.words, *counts = values[2 * CONTEXTS :]
-        self.ones, self.twos, self.top_ones, self.top_twos = counts
-        self.top_customers = self.tables.sum()
+        self.customers, self.top_customers, self.top_tables, self.words, self.top_ones, self.top_twos = values
 
-    def discounts(self) -> tuple[float, float]:
-        """Of contexts and parent, from how many counts are one and two."""
-        each = [(self.ones, self.twos), (self.top_ones, self.top_twos)]
-        return tuple(float(np.clip(a / (a + 2 * b) if a else 0.5, 0.05, 0.95)) for a, b in each)
+
+def _discount(ones: float, twos: float) -> float:
+    """From how many counts are one and two."""
+    return float(np.clip(ones / (ones + 2 * twos) if ones else 0.5, 0.05, 0.95))
 
 
 def base_probability(customers, tables, t: Totals, discount: float, strength: float):
@@ -176,86 +217,94 @@ def base_probability(customers, tables, t: Totals, discount: float, strength: fl
     return (customers - discount * tables) / room + (strength + discount * t.top_tables) / room / (t.words + 1)
 
 
-def _sweep(batches, t: Totals, discounts, strength: float, seed: int, keep: bool) -> Iterator[pa.RecordBatch]:
+def _sweep(state: pa.Table, nodes: pa.Table, t: Totals, discounts, strength: float, seed: int, keep: bool) -> pa.Table:
     low, top_discount = discounts
-    for row in rows_of(batches):
-        rng = np.random.default_rng([seed, row["shard"]])
-        keys = ungaps(row["keys"], np.uint64)
-        customers, tables, top, summed = (unplanes(row[c], np.int64) for c in ("customers", "tables", "top_tables", "summed"))
-        begin = _words(keys)
-        word = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(keys))))
-        sent = np.add.reduceat(tables, begin)
-        rest = sent[word] - tables  # of the word's customers in the parent, those from other contexts
-        base = base_probability(rest, top[word] * (rest / sent[word]), t, top_discount, strength)
-        others = t.tables[(keys & U64(255)).astype(np.int64)] - tables
-        tables = seat(rng, customers, others, base, low, strength)
-        sent = np.add.reduceat(tables, begin)
-        top = seat(rng, sent, t.top_tables - top, np.full(len(begin), 1 / (t.words + 1)), top_discount, strength)
-        samples = row["samples"]
-        if keep:
-            summed = summed + tables
-            samples += planes(sent) + planes(top)
-        yield _state(row["shard"], keys, customers, tables, top, summed, samples)
-
-
-def _sum_totals(state: DataFrame) -> Totals | None:
-    sums = state.agg(*[F.sum(F.get("totals", F.lit(i))) for i in range(2 * CONTEXTS + 6)]).first()
-    return None if sums[0] is None else Totals(list(sums))
+    row = next(rows_of(state.to_batches()))
+    told = sorted(rows_of(nodes.to_batches()), key=lambda p: p["node"])
+    others, sent, top = (np.concatenate([unplanes(p[c], np.int64) for p in told if p["kind"] == kind]) for kind, c in ((_CONTEXT, "tables"), (_WORD, "tables"), (_WORD, "top")))
+    context, word = (unplanes(row[c], np.uint32) for c in ("before", "words"))
+    customers, tables, summed = (unplanes(row[c], np.int64) for c in ("customers", "tables", "summed"))
+    rest = sent[word] - tables  # of the word's customers in the parent, those from other contexts
+    base = base_probability(rest, top[word] * (rest / sent[word]), t, top_discount, strength)
+    rng = np.random.default_rng([seed, row["shard"]])
+    tables = seat(rng, customers, others[context] - tables, base, low, strength)
+    return _state(row, tables, summed + tables if keep else summed, top)
 
 
 class Model:
-    """Sampled states: the shards' table and the totals of each kept sample."""
+    """Sampled states: the shards' table, the nodes' table and the totals of each kept sample."""
 
-    def __init__(self, state: DataFrame | None, totals: list[Totals], discounts, strength: float, shards: int):
-        self.state, self.totals, self.discounts, self.strength, self.shards = state, totals, discounts, strength, shards
+    def __init__(self, state: DataFrame | None, nodes: list[DataFrame], totals: list[Totals], discounts, strength: float, shards: int, spread: int):
+        self.state, self.nodes, self.totals, self.discounts, self.strength = state, nodes, totals, discounts, strength
+        self.shards, self.spread = shards, spread
 
     @property
     def tokens(self) -> int:
-        return int(self.totals[0].customers.sum()) if self.totals else 0
+        return int(self.totals[0].customers) if self.totals else 0
 
 
 def fit(texts: DataFrame, burn_in: int = 2, samples: int = 3, strength: float = 1.0, seed: int = 8) -> Model:
     """The model of ``texts(text)``."""
-    shards = max(4, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 2)
-    counts = texts.select("text").mapInArrow(lambda b: _count(b, shards), "shard int, keys binary, counts binary")
+    size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    shards, spread = max(16, size // _SHARD_BYTES), max(8, size // _SHARD_BYTES // 8)
+    counts = texts.select("text").mapInArrow(lambda b: _count(b, shards), "shard int, before binary, words binary, counts binary")
     state = materialise(counts.groupBy("shard").applyInArrow(_opened, _STATE), "state")
-    totals = _sum_totals(state)
-    if totals is None:
-        return Model(None, [], (0.5, 0.5), strength, shards)
-    discounts, kept = totals.discounts(), []
+    ones, twos = state.agg(F.sum("ones"), F.sum("twos")).first()
+    if ones is None:
+        return Model(None, [], [], (0.5, 0.5), strength, shards, spread)
+
+    def exchange(state, totals, discount, sweep):
+        sent = state.mapInArrow(lambda b: _send(b, spread), _SENT)
+        nodes = materialise(sent.groupBy("kind", "node").applyInArrow(lambda x: _total(x, totals, discount, strength, seed * 100 + sweep), _NODES), "nodes")
+        words = nodes.where((F.col("shard") < 0) & (F.col("kind") == _WORD))
+        return nodes, Totals(list(words.agg(*[F.sum(F.get("totals", F.lit(i))) for i in range(6)]).first()))
+
+    def sweeping(totals, number, keep):
+        return lambda a, b: _sweep(a, b, totals, discounts, strength, number, keep)
+
+    nodes, totals = exchange(state, None, 0.5, 99)
+    discounts, kept = (_discount(ones, twos), _discount(totals.top_ones, totals.top_twos)), []
     for sweep in range(burn_in + samples):
         keep = sweep >= burn_in
-        moved = materialise(state.mapInArrow(lambda b, t=totals, s=seed * 100 + sweep, k=keep: _sweep(b, t, discounts, strength, s, k), _STATE), "state")
+        told = nodes.where("shard >= 0").groupBy("shard")
+        moved = state.groupBy("shard").cogroup(told).applyInArrow(sweeping(totals, seed * 100 + sweep, keep), _STATE)
+        moved = materialise(moved, "state")
         discard(state)
-        state, totals = moved, _sum_totals(moved)
+        if sweep <= burn_in:
+            discard(nodes)
+        state = moved
+        nodes, totals = exchange(state, totals, discounts[1], sweep)
         if keep:
-            kept.append(totals)
-    return Model(state, kept, discounts, strength, shards)
+            kept.append((nodes, totals))
+    return Model(state, [n for n, _ in kept], [t for _, t in kept], discounts, strength, shards, spread)
 
 
-_ASKED = pa.schema([("shard", pa.int32()), ("task", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("rows", pa.binary())])
-_ASKED_SQL = "shard int, task long, keys binary, counts binary, rows binary"
-_PART = pa.schema([("task", pa.int64()), ("ids", pa.binary()), ("rows", pa.binary()), ("sums", pa.binary())])
-_PART_SQL = "task long, ids binary, rows binary, sums binary"
+_ASKED = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("flush", pa.int64()), *[(n, pa.binary()) for n in ("keys", "counts", "rows", "before", "words", "names")]])
+_ASKED_SQL = "kind int, shard int, flush long, keys binary, counts binary, rows binary, before binary, words binary, names binary"
+_TOLD = pa.schema([("flush", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("values", pa.binary())])
+_TOLD_SQL = "flush long, kind int, shard int, values binary"
 
 
-def _ask(batches, shards: int) -> Iterator[pa.RecordBatch]:
-    """Each task's distinct keys with the rows they occur in, by shard; a last entry per flush names the documents."""
-    task = TaskContext.get().partitionId() << 24
+def _ask(batches, shards: int, spread: int) -> Iterator[pa.RecordBatch]:
+    """Each flush's distinct pairs, contexts and words by shard, and for itself the rows they occur in and its documents."""
+    number = TaskContext.get().partitionId() << 24
+    none = dict.fromkeys(("counts", "rows", "before", "words", "names"), [None])
 
     def flush(held, names):
-        keys, rows = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(keys, kind="stable")
+        before, own, rows = (np.concatenate(x) for x in zip(*held, strict=True))
+        keys = pair_keys(before, own)
+        order = np.argsort(keys)
         keys, rows = keys[order], rows[order]
         new = _distinct(keys)
-        ends = np.append(new, len(keys))
-        keys = keys[new]
-        cuts = np.searchsorted(_shard(keys, shards), np.arange(shards + 1, dtype=U64))
-        for k in np.flatnonzero(np.diff(cuts)):
-            low, high = cuts[k], cuts[k + 1]
-            counts = np.diff(ends[low : high + 1]).astype(np.uint32)
-            yield out(_ASKED, shard=[int(k)], task=[task], keys=[gaps(keys[low:high])], counts=[planes(counts)], rows=[planes(rows[ends[low] : ends[high]])])
-        yield out(_ASKED, shard=[task % shards], task=[task], keys=[None], counts=[planes(np.concatenate(names))], rows=[None])
+        counts = np.diff(np.append(new, len(keys))).astype(np.uint32)
+        first = order[new]
+        contexts, context = np.unique(before[first], return_inverse=True)
+        words, word = np.unique(own[first], return_inverse=True)
+        for kind, asked, n in ((_PAIR, keys[new], shards), (_CONTEXT, contexts, spread), (_WORD, words, spread)):
+            for k, at in _cuts(asked, n):
+                yield out(_ASKED, **none | {"kind": [kind], "shard": [k], "flush": [number], "keys": [gaps(asked[at])]})
+        home = [planes(x.astype(np.uint32)) for x in (counts, rows, context, word)]
+        yield out(_ASKED, kind=[_HOME], shard=[-1], flush=[number], keys=[None], **dict(zip(("counts", "rows", "before", "words"), [[x] for x in home], strict=True)), names=[planes(np.concatenate(names))])
 
     held, names, size, count = [], [], 0, 0
     for batch in batches:
@@ -263,91 +312,89 @@ def _ask(batches, shards: int) -> Iterator[pa.RecordBatch]:
         known = ids.is_valid().to_numpy(zero_copy_only=False).astype(np.int64)
         ids = ids.fill_null(0).to_numpy()
         for piece in text_batches(batch.column("text")):
-            keys, row = token_keys(piece)
-            held.append((keys, (row + count).astype(np.uint32)))
-            own = slice(piece.first, piece.first + piece.rows)
-            names.append(np.stack([ids[own], known[own], np.bincount(row, minlength=piece.rows)], axis=1).astype(np.int64).reshape(-1))
-            size += len(keys)
+            before, own, row = token_keys(piece)
+            held.append((before, own, (row + count).astype(np.uint32)))
+            mine = slice(piece.first, piece.first + piece.rows)
+            names.append(np.stack([ids[mine], known[mine], np.bincount(row, minlength=piece.rows)], axis=1).astype(np.int64).reshape(-1))
+            size += len(own)
             count += piece.rows
             if size >= _FLUSH:
                 yield from flush(held, names)
                 held, names, size, count = [], [], 0, 0
-                task += 1
+                number += 1
     if held:
         yield from flush(held, names)
 
 
-def _answer(asked: pa.Table, state: pa.Table, model: tuple) -> pa.Table:
-    """Sums per document over a shard's words: known tokens, base score, score."""
+def _answer(asked: pa.Table, have: pa.Table, model: tuple) -> pa.Table:
+    """What the model knows of the keys asked for: of a pair its discounted customers, of a context its customers and
+    the weight of a new table in each sample, of a word its customers and its probability in the parent."""
     totals, (low, top_discount), strength = model
-    have = next(rows_of(state.to_batches()), None)
-    keys = ungaps(have["keys"], np.uint64) if have else np.empty(0, np.uint64)
-    begin = _words(keys)
-    words = keys[begin] >> U64(8)
-    customers = unplanes(have["customers"], np.int64) if have else np.empty(0, np.int64)
-    summed = unplanes(have["summed"], np.int64) if have else customers
-    seen = np.add.reduceat(customers, begin) if len(keys) else customers
-    n, v = (totals[0].customers.sum(), totals[0].words) if totals else (0, 0)
-    ground, fresh = [], []
-    for s, t in enumerate(totals):
-        part = have["samples"] if have else b""
-        size = 8 * len(words)
-        sent, top = (unplanes(part[(2 * s + k) * size : (2 * s + k + 1) * size], np.int64) for k in (0, 1))
-        known = base_probability(sent, top, t, top_discount, strength)
-        ground.append(np.append(known, base_probability(0, 0, t, top_discount, strength)))
-        fresh.append((strength + low * t.tables) / (strength + t.customers))
+    if not asked.num_rows:
+        return pa.Table.from_batches([], _TOLD)
+    parts, kind = list(rows_of(have.to_batches())), asked.column("kind")[0].as_py()
+    keys, values = np.empty(0, U64), []
+    if kind == _PAIR:
+        if parts:
+            pairs = (("contexts", "before"), ("vocabulary", "words"))
+            keys = pair_keys(*[ungaps(parts[0][n], np.uint64)[unplanes(parts[0][c], np.uint32)] for n, c in pairs])
+            values = [unplanes(parts[0]["customers"], np.int64) - low * unplanes(parts[0]["summed"], np.int64) / len(totals)]
+        absent = [0.0]
+    else:
+        parts.sort(key=lambda p: p["sample"])
+        if parts:
+            keys, customers = ungaps(parts[0]["keys"], np.uint64), unplanes(parts[0]["customers"], np.int64)
+            values = [customers]
+        for p in parts:
+            tables, top = unplanes(p["tables"], np.int64), unplanes(p["top"], np.int64)
+            values.append((strength + low * tables) / (strength + customers) if kind == _CONTEXT else base_probability(tables, top, totals[p["sample"]], top_discount, strength))
+        absent = [0.0, *[1.0 if kind == _CONTEXT else base_probability(0, 0, t, top_discount, strength) for t in totals]]
+    values = [np.append(v, a) for v, a in zip(values or [np.empty(0)] * len(absent), absent, strict=True)]
     made = []
     for row in rows_of(asked.to_batches()):
-        if row["keys"] is None:
-            made.append(out(_PART, task=[row["task"]], ids=[row["counts"]], rows=[None], sums=[None]))
-            continue
         own = ungaps(row["keys"], np.uint64)
-        context = (own & U64(255)).astype(np.int64)
-        at = np.searchsorted(words, own >> U64(8))
-        at[at == len(words)] = 0
-        at = np.where(words[at] == own >> U64(8), at, len(words)) if len(words) else np.zeros(len(own), np.int64)
-        count = np.append(seen, 0)[at]
-        base = np.log10((count + 1) / (n + v + 1))
-        if totals:
-            pair = np.searchsorted(keys, own)
-            pair[pair == len(keys)] = 0
-            same = keys[pair] == own if len(keys) else np.zeros(len(own), bool)
-            room = strength + totals[0].customers[context]
-            chance = np.where(same, (customers[pair] - low * summed[pair] / len(totals)), 0) / room if len(keys) else np.zeros(len(own))
-            chance = chance + sum(f[context] * g[at] for f, g in zip(fresh, ground, strict=True)) / len(totals)
-        else:
-            chance = np.ones(len(own))
-        repeat = unplanes(row["counts"], np.uint32).astype(np.int64)
-        rows = unplanes(row["rows"], np.uint32)
-        sums = [np.bincount(rows, np.repeat(x, repeat)) for x in ((count > 0).astype(float), base, np.log10(chance))]
-        there = np.flatnonzero(np.bincount(rows))
-        made.append(out(_PART, task=[row["task"]], ids=[None], rows=[gaps(there.astype(np.uint32))], sums=[np.stack(sums)[:, there].tobytes()]))
-    return pa.Table.from_batches(made, _PART)
+        at = np.searchsorted(keys, own)
+        at[at < len(keys)] = np.where(keys[at[at < len(keys)]] == own[at < len(keys)], at[at < len(keys)], len(keys))
+        made.append(out(_TOLD, flush=[row["flush"]], kind=[kind], shard=[row["shard"]], values=[np.stack([v[at] for v in values]).tobytes()]))
+    return pa.Table.from_batches(made, _TOLD)
 
 
 _SCORES = pa.schema([("_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
-def _named(table: pa.Table) -> pa.Table:
-    """A task's documents with their sums over all shards."""
-    parts = list(rows_of(table.to_batches()))
-    names = next(unplanes(p["ids"], np.int64) for p in parts if p["ids"] is not None).reshape(-1, 3)
-    total = np.zeros((3, len(names)))
-    for p in parts:
-        if p["ids"] is None:
-            rows = ungaps(p["rows"], np.uint32)
-            total[:, rows] += np.frombuffer(p["sums"]).reshape(3, -1)
+def _named(asked: pa.Table, told: pa.Table, model: tuple) -> pa.Table:
+    """A flush's documents with their sums."""
+    totals, _, strength = model
+    home = next(rows_of(asked.to_batches()))
+    names = unplanes(home["names"], np.int64).reshape(-1, 3)
+    counts, rows, context, word = (unplanes(home[c], np.uint32) for c in ("counts", "rows", "before", "words"))
+    parts = sorted(rows_of(told.to_batches()), key=lambda p: p["shard"])
+    width = {_PAIR: 1, _CONTEXT: 1 + len(totals), _WORD: 1 + len(totals)}
+    (held,), (room, *fresh), (seen, *ground) = (np.concatenate([np.frombuffer(p["values"]).reshape(n, -1) for p in parts if p["kind"] == k], axis=1) for k, n in width.items())
+    n, v = (totals[0].customers, totals[0].words) if totals else (0, 0)
+    base = np.log10((seen + 1) / (n + v + 1))[word]
+    chance = held / (strength + room[context])
+    chance = chance + sum(f[context] * g[word] for f, g in zip(fresh, ground, strict=True)) / len(totals) if totals else np.ones(len(held))
+    sums = [np.bincount(rows, np.repeat(x, counts), len(names)) for x in ((seen > 0)[word].astype(float), base, np.log10(chance))]
     columns = [pa.array(names[:, 0].copy(), mask=names[:, 1] == 0), pa.array(names[:, 2].copy())]
-    return pa.table([*columns, pa.array(np.rint(total[0]).astype(np.int64)), pa.array(total[1].copy()), pa.array(total[2].copy())], schema=_SCORES)
+    return pa.table([*columns, pa.array(np.rint(sums[0]).astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])], schema=_SCORES)
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id") -> DataFrame:
     """A row per document: id, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigram) and ``score``."""
-    shards, frozen = model.shards, (model.totals, model.discounts, model.strength)
-    asked = docs.select(F.col(id).cast("long").alias("_id"), "text").mapInArrow(lambda b: _ask(b, shards), _ASKED_SQL)
-    state = model.state if model.state is not None else docs.sparkSession.createDataFrame([], _STATE)
-    parts = asked.groupBy("shard").cogroup(state.groupBy("shard")).applyInArrow(lambda a, s: _answer(a, s, frozen), _PART_SQL)
-    named = parts.groupBy("task").applyInArrow(_named, "_id long, n_tokens long, n_known long, base_score double, score double")
+    shards, spread, frozen = model.shards, model.spread, (model.totals, model.discounts, model.strength)
+    asked = docs.select(F.col(id).cast("long").alias("_id"), "text").mapInArrow(lambda b: _ask(b, shards, spread), _ASKED_SQL)
+    asked = materialise(asked, "asked")
+    empty = docs.sparkSession.createDataFrame([], "kind int, shard int, sample int, " + _SENT.split(", ", 3)[3] + ", contexts binary, vocabulary binary, before binary, words binary, summed binary")
+    known = [empty]
+    if model.state is not None:
+        known.append(model.state.select(F.lit(_PAIR).alias("kind"), "shard", "contexts", "vocabulary", "before", "words", "customers", "summed"))
+        known += [n.where("shard < 0").select("kind", F.col("node").alias("shard"), F.lit(s).alias("sample"), "keys", "customers", "tables", "top") for s, n in enumerate(model.nodes)]
+    known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known)
+    keys = asked.where(F.col("kind") != _HOME).select("kind", "shard", "flush", "keys")
+    told = keys.groupBy("kind", "shard").cogroup(known.groupBy("kind", "shard")).applyInArrow(lambda a, b: _answer(a, b, frozen), _TOLD_SQL)
+    home = asked.where(F.col("kind") == _HOME).groupBy("flush")
+    named = home.cogroup(told.groupBy("flush")).applyInArrow(lambda a, b: _named(a, b, frozen), "_id long, n_tokens long, n_known long, base_score double, score double")
     return named.withColumnRenamed("_id", id)
 
 

@@ -160,6 +160,14 @@ def test_language_model_counts(spark):
     assert language_model.score_documents(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_language_model_contexts_are_words(spark):
+    held = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 7 == 2]
+    docs = [(i, ("xab p " if i % 2 else "yab q ") * 5) for i in range(1000, 1200)]  # words before that end alike
+    docs += [(held[0], "xab p"), (held[1], "xab q"), (held[2], "yab q"), (held[3], "new p")]
+    got = {r.doc_id: r.score for r in language_model.score_documents(spark.createDataFrame(docs, DOCS).repartition(3)).collect()}
+    assert got[held[0]] > got[held[1]] + 1 and got[held[2]] > got[held[1]] + 1 and got[held[3]] < 0
+
+
 def test_seating_bounds():
     rng = np.random.default_rng(1)
     customers = np.array([0, 1, 2, 50, 100_000])
