@@ -168,6 +168,15 @@ def test_language_model_contexts_are_words(spark):
     assert got[held[0]] > got[held[1]] + 1 and got[held[2]] > got[held[1]] + 1 and got[held[3]] < 0
 
 
+def test_language_model_asks_for_a_hot_word_once(spark):
+    sizes = []
+    for n in (100, 100_000):
+        df = spark.createDataFrame([(1, "the " * n)], "_id long, text string").coalesce(1)
+        asked = df.mapInArrow(lambda b: language_model._ask(b, 16, 8), language_model._ASKED_SQL).where(f"kind != {language_model._HOME}")
+        sizes.append((asked.count(), asked.selectExpr("sum(octet_length(keys))").first()[0], asked.where("rows is not null").count()))
+    assert sizes[0] == sizes[1] and sizes[0][2] == 0
+
+
 def test_seating_bounds():
     rng = np.random.default_rng(1)
     customers = np.array([0, 1, 2, 50, 100_000])
