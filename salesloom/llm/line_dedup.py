@@ -14,7 +14,7 @@ with partial sums, so neither a hot host nor a common line meets in one task. On
 get a list, which is joined to them by a key of their own.
 
 Defined cases: a line is compared without blanks at its ends; blank lines are kept and never counted; null
-texts stay null; a null host is a host; repeated rows get the same lines; extra columns pass through, except
+texts stay null and count as the empty page; a null host is a host; repeated rows get the same lines; extra columns pass through, except
 those named like the result's own (``n_lines``, ``n_dropped``), which are replaced.
 """
 
@@ -50,7 +50,7 @@ def dedup_lines(docs: DataFrame, host: str | Column = "source", ratio: float = 0
     """``docs`` with ``text`` without its boilerplate lines, ``n_lines`` (non-blank) and ``n_dropped``."""
     docs = without(docs, "n_lines", "n_dropped", "_host", "_body", "_key", "_drop", _HASH)
     host = F.col(host) if isinstance(host, str) else host
-    pages = docs.withColumns({"_host": host, "_body": F.xxhash64("text")})
+    pages = docs.withColumns({"_host": host, "_body": F.xxhash64(F.coalesce("text", F.lit("")))})
     found = boilerplate(pages.select("_host", "_body", "text"), ratio, min_pages)
     lines = pages.select(F.xxhash64("_host", "_body").alias("_key"), "_host", F.explode(F.array_distinct(_hashes("text"))).alias(_HASH))
     hits = lines.join(found, (lines[_HASH] == found[_HASH]) & lines["_host"].eqNullSafe(found["_host"])).select("_key", lines[_HASH])

@@ -129,3 +129,9 @@ def test_lines_are_compared_without_blanks_only(spark):
     docs = [(i, "h", f" header  \n1u{i}1\nw{i}") for i in range(30)]
     got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
     assert all((r.text, r.n_dropped) == (f"1u{r.doc_id}1\nw{r.doc_id}", 1) for r in got)
+
+
+def test_null_and_empty_texts_are_one_page(spark):
+    docs = [(i, "h", f"{'same' if i < 10 else 'x'}\nu{i}") for i in range(198)] + [(300, "h", None), (301, "h", "")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, source string, text string"), ratio=0.05023).collect()
+    assert {r.doc_id for r in got if r.n_dropped and r.doc_id < 10} == set(range(10))  # 10 of 199 pages, not of 200
