@@ -14,7 +14,7 @@ Scale: the corpus is read once and never shuffled; items travel with the tasks i
 words, a pass over the corpus for each block.
 
 Defined cases: null and empty texts match nothing; items without text or with fewer than ``min_words`` words
-are not searched; a document that holds an item several times gives its best match (the first of equal ones);
+are not searched (``left_out`` returns the short ones); a document that holds an item several times gives its best match (the first of equal ones);
 repeated rows and repeated items give a row each; extra columns of the documents are left out.
 """
 
@@ -199,3 +199,9 @@ def find_contamination(
         index = Items([(r.item_id, r.text) for r in own], similarity, min_words, recall)
         found.append(texts.mapInArrow(lambda b, i=index: _matches(b, i), _MATCHES))
     return reduce(DataFrame.unionAll, found).withColumnRenamed("_id", id)
+
+
+def left_out(items: DataFrame, min_words: int = 8) -> DataFrame:
+    """The items with text that ``find_contamination`` doesn't search, as they have fewer than ``min_words`` words."""
+    words = F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    return items.where((words > 0) & (words < min_words))

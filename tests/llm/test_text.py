@@ -207,6 +207,12 @@ def test_contamination(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.find_contamination(*tables, block_words=200).collect()} == got
 
 
+def test_items_left_out(spark):
+    items = [(1, " a b\tc d e f g "), (2, "a b c d e f g h"), (3, None), (4, " "), (5, "a")]
+    df = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(r.item_id for r in decontaminate.left_out(df).collect()) == [1, 5]
+
+
 def test_quality(spark):
     random.seed(5)
     good = lambda: " ".join(random.choices("the of and house tree water river".split(), k=60))
