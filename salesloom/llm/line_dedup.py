@@ -4,10 +4,8 @@ Method: site-relative frequency. Pages are grouped by host; the pages of the hos
 divided by the host's pages, and lines above ``ratio`` are boilerplate and dropped.
 
 Pages of a host with the same body count once, above and below the line, so copies of a page don't make
-its lines boilerplate. ``drop_boilerplate`` decides by the share alone: a line must be on two such pages,
-whatever the host's size, and goes from every page, also from one that has little else. ``dedup_lines`` has
-a floor of ``min_pages`` such pages beside the ratio, which keeps lines of small hosts that the ratio alone
-drops, and leaves a page whole of which more than ``max_share`` of the lines are boilerplate.
+its lines boilerplate. The share alone decides: a line must be on two such pages, or it would be a share of
+itself, whatever the host's size, and goes from every page, also from one that has little else.
 
 Scale: lines travel as 64-bit hashes. Counting is on (host, line, body) and then on (host, line), each
 with partial sums, so neither a hot host nor a common line meets in one task. Only pages that lose lines
@@ -38,20 +36,20 @@ def _hashes(text: str) -> Column:
     return F.transform(F.filter(F.transform(_lines(text), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
-def boilerplate(pages: DataFrame, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float) -> DataFrame:
     """(host, line) of ``pages(_host, _body, text)`` above the ratio."""
     hosts = pages.groupBy("_host").agg(F.count_distinct("_body").alias("pages"))
     lines = pages.select("_host", "_body", F.explode(F.array_distinct(_hashes("text"))).alias(_HASH))
-    counts = lines.groupBy("_host", _HASH).agg(F.count_distinct("_body").alias("found")).where(F.col("found") >= min_pages)
+    counts = lines.groupBy("_host", _HASH).agg(F.count_distinct("_body").alias("found")).where("found > 1")
     return counts.join(hosts, counts["_host"].eqNullSafe(hosts["_host"])).where(F.col("found") > ratio * F.col("pages")).select(counts["_host"], _HASH)
 
 
-def dedup_lines(docs: DataFrame, host: str | Column = "source", ratio: float = 0.05, min_pages: int = 10, max_share: float = 0.5) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str | Column = "source", ratio: float = 0.05) -> DataFrame:
     """``docs`` with ``text`` without its boilerplate lines, ``n_lines`` (non-blank) and ``n_dropped``."""
     docs = without(docs, "n_lines", "n_dropped", "_host", "_body", "_key", "_drop", _HASH)
     host = F.col(host) if isinstance(host, str) else host
     pages = docs.withColumns({"_host": host, "_body": F.xxhash64(F.coalesce("text", F.lit("")))})
-    found = boilerplate(pages.select("_host", "_body", "text"), ratio, min_pages)
+    found = boilerplate(pages.select("_host", "_body", "text"), ratio)
     lines = pages.select(F.xxhash64("_host", "_body").alias("_key"), "_host", F.explode(F.array_distinct(_hashes("text"))).alias(_HASH))
     hits = lines.join(found, (lines[_HASH] == found[_HASH]) & lines["_host"].eqNullSafe(found["_host"])).select("_key", lines[_HASH])
     drop = hits.groupBy("_key").agg(F.collect_set(_HASH).alias("_drop"))
@@ -59,13 +57,6 @@ def dedup_lines(docs: DataFrame, host: str | Column = "source", ratio: float = 0
     count = F.coalesce(F.size(F.filter(_lines("text"), lambda x: F.trim(x) != "")), F.lit(0)).cast("long")
     dropped = F.when(F.col("_drop").isNull(), F.lit(0)).otherwise(F.size(F.filter(_hashes("text"), lambda x: F.array_contains("_drop", x)))).cast("long")
     marked = marked.withColumn("n_lines", count).withColumn("n_dropped", dropped)
-    marked = marked.withColumn("n_dropped", F.when(F.col("n_dropped") > max_share * F.col("n_lines"), F.lit(0).cast("long")).otherwise(F.col("n_dropped")))
     kept = F.filter(_lines("text"), lambda x: (F.trim(x) == "") | ~F.array_contains("_drop", F.xxhash64(F.trim(x))))
     text = F.when(F.col("n_dropped") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     return marked.withColumn("text", text).select(*[f"`{c}`" for c in docs.columns], "n_lines", "n_dropped")
-
-
-def drop_boilerplate(docs: DataFrame, host: str | Column = "source", ratio: float = 0.05) -> DataFrame:
-    """``dedup_lines`` by the share alone: the same lines go on a host of ten pages and on one of thousands,
-    and from pages that are mostly boilerplate too."""
-    return dedup_lines(docs, host, ratio, min_pages=2, max_share=1.0)

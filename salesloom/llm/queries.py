@@ -34,7 +34,7 @@ def op2_substring_dedup(spark, folder):
 
 @query
 def op3_line_dedup(spark, folder):
-    return line_dedup.dedup_lines(read(spark, folder, "documents").select("doc_id", "source", "text"))
+    return line_dedup.drop_boilerplate(read(spark, folder, "documents").select("doc_id", "source", "text"))
 
 
 @query
@@ -123,7 +123,7 @@ ORACLES = {
         ),
         found AS (
             SELECT source, line FROM (SELECT source, line, count(DISTINCT body) AS n FROM lines WHERE line <> '' GROUP BY source, line)
-            JOIN hosts USING (source) WHERE n >= 10 AND n > 0.05 * pages
+            JOIN hosts USING (source) WHERE n > 1 AND n > 0.05 * pages
         ),
         marked AS (SELECT l.*, f.line IS NOT NULL AS hit FROM lines l LEFT JOIN found f ON l.source = f.source AND l.line = f.line),
         counts AS (
@@ -131,8 +131,8 @@ ORACLES = {
                 string_agg(raw, chr(10) ORDER BY place) FILTER (NOT hit) AS kept
             FROM marked GROUP BY row
         )
-        SELECT doc_id, source, CASE WHEN coalesce(hits, 0) = 0 OR hits > 0.5 * n_lines THEN text ELSE coalesce(kept, '') END AS text,
-            coalesce(n_lines, 0) AS n_lines, CASE WHEN hits > 0.5 * n_lines THEN 0 ELSE coalesce(hits, 0) END AS n_dropped
+        SELECT doc_id, source, CASE WHEN coalesce(hits, 0) = 0 THEN text ELSE coalesce(kept, '') END AS text,
+            coalesce(n_lines, 0) AS n_lines, coalesce(hits, 0) AS n_dropped
         FROM pages LEFT JOIN counts USING (row)""",
     "op4_url_filter": r"""
         WITH parts AS (

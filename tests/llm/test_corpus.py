@@ -52,9 +52,12 @@ def grouped(docs, n, percent):
     return sorted(((d, len(s), least.get(top(i)) if s else d) for i, ((d, _), s) in enumerate(zip(docs, sets, strict=True))), key=str)
 
 
-@pytest.mark.parametrize("n, percent, together", [(3, 90, 32), (5, 80, 32), (2, 75, 2)])
-def test_near_duplicates(spark, monkeypatch, n, percent, together):
+@pytest.mark.parametrize("n, percent, together, leads", [(3, 90, 32, 16), (5, 80, 32, 2), (2, 75, 2, 1)])
+def test_near_duplicates(spark, monkeypatch, n, percent, together, leads):
     monkeypatch.setattr(ngram_join, "_TOGETHER", together)
+    monkeypatch.setattr(ngram_join, "_LEADS", leads)
+    monkeypatch.setattr(ngram_join, "_BIN", 3)
+    monkeypatch.setattr(ngram_join, "_FLUSH", 50)
     random.seed(n)
     vocabulary, docs = [f"w{i}" for i in range(200)] + ["É", "A"], []
     for _ in range(8):
@@ -70,6 +73,22 @@ def test_near_duplicates(spark, monkeypatch, n, percent, together):
     assert sorted(map(tuple, got), key=str) == grouped(docs, n, percent)
 
 
+@pytest.mark.parametrize("leads", [16, 1])
+def test_a_large_group_at_the_edge(spark, monkeypatch, leads):
+    """200 copies of one text, each a few words away: some pairs are linked, some only through others."""
+    monkeypatch.setattr(ngram_join, "_LEADS", leads)
+    random.seed(11)
+    base, docs = [f"w{i}" for i in range(120)], []
+    for i in range(200):
+        own = list(base)
+        for _ in range(random.choice([1, 3, 4, 5])):
+            own[random.randrange(len(own))] = random.choice(["x", "y", f"z{i}"])
+        docs.append((i, " ".join(own)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(5), 5, 80, bits=16)
+    got = sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == grouped(docs, 5, 80) and 2 < len({c for _, _, c in got}) < 150
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], DOCS), bits=16).count() == 0
 
@@ -101,11 +120,11 @@ def test_lines(spark):
     docs = [(i, "h", f"same line\n\nu{i}\nv{i}") for i in range(20)] + [(100 + i, "g", "same line\nz") for i in range(30)]
     docs += [(200, None, None), (201, "h", "same line"), (202, "h", "")]
     df = spark.createDataFrame(docs, "doc_id long, source string, text string").withColumn("n_lines", F.lit("other"))
-    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.dedup_lines(df).collect()}
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.drop_boilerplate(df).collect()}
     assert got[0] == ("\nu0\nv0", 3, 1)
     assert got[100] == ("same line\nz", 2, 0)  # copies of one page count once
-    assert got[200] == (None, 0, 0) and got[201] == ("same line", 1, 0) and got[202] == ("", 0, 0)
-    assert line_dedup.dedup_lines(df.limit(0)).count() == 0
+    assert got[200] == (None, 0, 0) and got[201] == ("", 1, 1) and got[202] == ("", 0, 0)
+    assert line_dedup.drop_boilerplate(df.limit(0)).count() == 0
 
 
 def test_lines_by_share_alone(spark):
@@ -127,11 +146,11 @@ def test_lines_of_pages_that_are_mostly_boilerplate(spark):
 
 def test_lines_are_compared_without_blanks_only(spark):
     docs = [(i, "h", f" header  \n1u{i}1\nw{i}") for i in range(30)]
-    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
+    got = line_dedup.drop_boilerplate(spark.createDataFrame(docs, "doc_id long, source string, text string")).collect()
     assert all((r.text, r.n_dropped) == (f"1u{r.doc_id}1\nw{r.doc_id}", 1) for r in got)
 
 
 def test_null_and_empty_texts_are_one_page(spark):
-    docs = [(i, "h", f"{'same' if i < 10 else 'x'}\nu{i}") for i in range(198)] + [(300, "h", None), (301, "h", "")]
-    got = line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, source string, text string"), ratio=0.05023).collect()
+    docs = [(i, "h", f"{'same' if i < 10 else f'x{i}'}\nu{i}") for i in range(198)] + [(300, "h", None), (301, "h", "")]
+    got = line_dedup.drop_boilerplate(spark.createDataFrame(docs, "doc_id long, source string, text string"), ratio=0.05023).collect()
     assert {r.doc_id for r in got if r.n_dropped and r.doc_id < 10} == set(range(10))  # 10 of 199 pages, not of 200
