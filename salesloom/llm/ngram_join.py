@@ -9,15 +9,16 @@ into fragments, and each document's set into the segments that fall into them.
    share makes up too few segments to let them meet. Which segments occur more than once is told by a
    count-min sketch before anything is shuffled.
 2. Counting. The overlap of a pair is counted fragment by fragment, in separate tasks, and summed.
-3. No pairs within groups. Equal sets are one node. The nodes that share a segment are compared with
-   their middle only, the n-grams that most of them have. Let d be a node's distance from the middle
-   (n-grams in one but not both) and its slack size * (100 - p) / (100 + p) - d. Two nodes that share no
-   difference from the middle are d + d apart, so they are linked exactly if their slacks sum to zero
-   or more; sharing differences only brings them closer. So every node whose slack allows it is linked
-   to the node of the largest slack, and a node whose slack doesn't can only be linked to one with which
-   it shares a difference. Those that do form the next round's groups, each at most half as large,
-   as a difference is one that most members haven't; groups within one component are done. They compare
-   the differences from the middle instead of the sets: two nodes' differ in as many n-grams as their sets.
+3. No pairs within groups. Equal sets are one node, and groups that meet in the same node are merged until most nodes
+   are in one. The nodes of a group are compared with its middle only, the n-grams that most of them have. Let d be a
+   node's distance from the middle (n-grams in one but not both) and its slack size * (100 - p) / (100 + p) - d. Two
+   nodes that share no difference from the middle are d + d apart, so they are linked exactly if their slacks sum to
+   zero or more; sharing differences only brings them closer. So every node whose slack allows it is linked to the node
+   of the largest slack, and a node whose slack doesn't can only be linked to one with which it shares differences, as
+   many as its slack lacks. Few nodes share so many with another component; those that do are compared through
+   their rarest such differences, a bounded number of them with the other holders. A difference of which more nodes may
+   be the closer half of a link makes them a group of the next round, at most half as large, as a difference is one that most
+   members haven't; it compares the differences from the middle instead of the sets: two nodes' differ in as many n-grams.
 
 A segment may be empty. Empty segments count as shared only for documents with so many of them that
 no other shared segment is guaranteed; there are more fragments than needed, so those are rare.
@@ -35,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -46,6 +47,9 @@ from salesloom.scratch import discard, materialise
 
 _COUNTED = 4  # fragments in which overlaps are counted
 _TOGETHER = 32  # nodes of a group whose sets meet in one task, fragment by fragment
+_LEADS = 16  # nodes with a shared difference that are compared with its other holders one by one; more form a group
+_BIN = 256  # members for which a group's grams get another bin
+_FLUSH = 1_000_000  # grams that a task adds up before it sends their sums
 
 
 def shingle_sets(piece: Batch, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,6 +149,9 @@ def _described(batches, n: int, percent: int, maps, bits: int) -> Iterator[pa.Re
             columns += [pa.array(np.diff(ptr)), pa.array(node.view(np.int64))]
             for rows, keys, need in segment_keys(grams, ptr, percent):
                 hit = np.flatnonzero(countmin.repeated(keys, maps, bits))
+                # The sketch never says too few: a row with fewer than it needs is linked with nothing.
+                enough = np.bincount(rows[hit], minlength=piece.rows) >= need
+                hit = hit[enough[rows[hit]]]
                 places = np.concatenate(([0], np.cumsum(np.bincount(rows[hit], minlength=piece.rows))))
                 columns.append(pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(keys[hit].view(np.int64))))
                 columns.append(pa.array(need))
@@ -219,11 +226,25 @@ def _open(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
     return groups.join(same.select("group", "members"), "group")
 
 
+def _first(groups: DataFrame) -> DataFrame:
+    """(group, first): the member of each group that meets most others."""
+    members = groups.groupBy("group").agg(F.count("*").alias("members"))
+    met = groups.join(members, "group").groupBy("node").agg(F.sum("members").alias("met"))
+    return groups.join(met, "node").groupBy("group").agg(F.max(F.struct("met", "node"))["node"].alias("first"))
+
+
 def _merged(groups: DataFrame) -> DataFrame:
-    """Groups joined into one if the member that meets most others is the same."""
-    met = groups.groupBy("node").agg(F.sum("members").alias("met"))
-    first = groups.join(met, "node").groupBy("group").agg(F.max(F.struct("met", "node"))["node"].alias("first"))
-    return groups.join(first, "group").select(F.col("first").alias("group"), "node").distinct()
+    """Groups joined into one if their first member is the same, again and again while that makes rows fewer by a
+    tenth: most nodes come to be in one group."""
+    rows = groups.count()
+    while True:
+        merged = groups.join(_first(groups), "group").select(F.col("first").alias("group"), "node").distinct()
+        merged = materialise(merged, "merged")
+        before, rows = rows, merged.count()
+        discard(groups)
+        groups = merged
+        if 10 * rows >= 9 * before:
+            return groups
 
 
 _UNLIKE = "group long, node long, fragment int, differ int, grams array<long>"
@@ -277,16 +298,74 @@ def _from_middles(batches) -> Iterator[pa.RecordBatch]:
         yield _from_middle(rest)
 
 
+_COUNTS = "group long, fragment int, bin int, members long, grams array<long>, times array<long>"
+_COUNTS_SCHEMA = pa.schema([("group", pa.int64()), ("fragment", pa.int32()), ("bin", pa.int32()), ("members", pa.int64()), ("grams", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
+
+
+def _listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values, pa.int64()))
+
+
+def _added(group, fragment, part, members, grams, times) -> pa.RecordBatch:
+    """Counts of equal (group, fragment, bin, gram) added up, one row for each group, fragment and bin."""
+    order = np.lexsort((grams, part, fragment, group))
+    columns = [c[order] for c in (group, fragment, part, members, grams, times)]
+    edge = np.zeros(len(order), bool)
+    edge[:1] = True
+    for c in columns[:3]:
+        edge[1:] |= c[1:] != c[:-1]
+    new = edge.copy()
+    new[1:] |= columns[4][1:] != columns[4][:-1]
+    first, rows = np.flatnonzero(new), np.flatnonzero(edge)
+    total = np.add.reduceat(columns[5], first) if len(first) else columns[5]
+    sizes = np.diff(np.append(np.searchsorted(first, rows), len(first)))
+    lists = [_listed(columns[4][first], sizes), _listed(total, sizes)]
+    return pa.RecordBatch.from_arrays([*[pa.array(c[rows]) for c in columns[:4]], *lists], schema=_COUNTS_SCHEMA)
+
+
+def _counted(batches) -> Iterator[pa.RecordBatch]:
+    """A task's own counts of the grams of each group, a bin of grams for every ``_BIN`` members."""
+    held, size = [], 0
+
+    def flush():
+        return _added(*[np.concatenate(c) for c in zip(*held, strict=True)])
+
+    for batch in batches:
+        lists = batch.column("grams")
+        grams, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        group, fragment, members = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("group", "fragment", "members"))
+        bins = -(-members // _BIN)
+        part = (mixed(grams.view(U64), 9) % bins.astype(U64)).astype(np.int32)
+        held.append((group, fragment, part, members, grams, np.ones(len(grams), np.int64)))
+        size += len(grams)
+        if size >= _FLUSH:
+            yield flush()
+            held, size = [], 0
+    if size:
+        yield flush()
+
+
+def _majority(table: pa.Table) -> pa.Table:
+    """The grams of a bin that most members have."""
+    values, times = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("grams", "times"))
+    members = table.column("members")[0].as_py()
+    grams, at = np.unique(values, return_inverse=True)
+    middle = grams[2 * np.bincount(at, times, len(grams)).astype(np.int64) > members]
+    return pa.table({"group": table.column("group")[:1], "fragment": table.column("fragment")[:1], "middle": pa.array([middle], pa.list_(pa.int64()))})
+
+
 def _unlike(groups: DataFrame, sets: DataFrame) -> DataFrame:
     """(group, node, fragment, differ, grams): how many grams of a fragment a node and its group's middle don't
     share, and which, for groups of four or more.
 
-    The rows of a group of up to ``_TOGETHER`` nodes meet as they are; larger groups count their grams first."""
+    The rows of up to ``_TOGETHER`` nodes meet as they are. Of more nodes each task adds up the grams that it
+    has, and these sums meet, in a bin for every ``_BIN`` members."""
     few = groups.where(F.col("members") <= _TOGETHER).join(sets, ["parent", "node"])
     few = few.select("group", "node", "fragment", "grams").repartition("group", "fragment").sortWithinPartitions("group", "fragment")
     many = groups.where(F.col("members") > _TOGETHER).join(sets, ["parent", "node"])
-    counted = many.select("group", "fragment", "members", F.explode("grams").alias("gram")).groupBy("group", "fragment", "gram", "members").count()
-    middle = counted.where("2 * count > members").groupBy("group", "fragment").agg(F.collect_list("gram").alias("middle"))
+    sums = many.select("group", "fragment", "members", "grams").mapInArrow(_counted, _COUNTS)
+    middle = sums.groupBy("group", "fragment", "bin").applyInArrow(_majority, "group long, fragment int, middle array<long>")
+    middle = middle.groupBy("group", "fragment").agg(F.flatten(F.collect_list("middle")).alias("middle"))
     middles = F.coalesce("middle", F.array().cast("array<bigint>"))
     grams = F.concat(F.array_except("grams", middles), F.array_except(middles, "grams"))
     many = many.join(middle, ["group", "fragment"], "left").select("group", "node", "fragment", grams.alias("grams"))
@@ -294,12 +373,91 @@ def _unlike(groups: DataFrame, sets: DataFrame) -> DataFrame:
     return few.mapInArrow(_from_middles, _UNLIKE).unionAll(many)
 
 
-def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, percent: int) -> DataFrame | None:
+def _shared_keys(lists: pa.Array, groups: np.ndarray) -> np.ndarray:
+    """Keys of (group, gram) for lists of grams."""
+    return mixed(mixed(groups.view(U64), 11).repeat(lists.value_lengths().to_numpy()) + lists.flatten().to_numpy().view(U64), 12)
+
+
+def _differences(batches) -> Iterator[np.ndarray]:
+    for batch in batches:
+        yield _shared_keys(batch.column("grams"), batch.column("group").to_numpy())
+
+
+_HELD = "group long, node long, grams array<long>"
+
+
+def _not_alone(batches, maps, bits: int) -> Iterator[pa.RecordBatch]:
+    """Of each row the differences, as keys, that the sketch has seen twice in the group."""
+    for batch in batches:
+        lists = batch.column("grams")
+        sizes = lists.value_lengths().to_numpy()
+        keys = _shared_keys(lists, batch.column("group").to_numpy())
+        held = countmin.repeated(keys, maps.value, bits)
+        kept = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[held], minlength=len(sizes))
+        columns = [batch.column("group"), batch.column("node"), _listed(keys[held].view(np.int64), kept)]
+        yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in _HELD.split(", ")])
+
+
+def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFrame, percent: int, bits: int) -> DataFrame:
+    """(parent, gram, node, root, own, leads): nodes with the same ``gram`` share a difference from the parent group's middle,
+    and any two linked nodes of a parent that are not in one component yet have such a gram, for which one of them ``leads``.
+
+    ``asked(group, node, distance, own, most)``: a node's slack and the largest of its group. Two such nodes are linked
+    only if they share as many differences as make up for what their slacks lack. Let a be the one of larger slack: it
+    needs that many with any other of no larger slack than its own (``index``), and the other that many with one
+    of the largest slack (``probe``). Only differences that another component of the group has too count: a sketch
+    leaves out most others before they are counted. A node that has fewer than it needs is out; else the two share one of
+    the first count - index + 1 of a and of the first count - probe + 1 of the other, in the order of rarity."""
+    spark = asked.sparkSession
+    cost = 100 + percent
+    lack = {"probe": F.ceil(-(F.col("own") + F.col("most")) / (2 * cost)), "index": F.ceil(-F.col("own") / cost)}
+    asked = asked.withColumns({n: F.greatest(F.lit(1), c) for n, c in lack.items()}).where("probe <= distance")
+    asked = materialise(asked.select("group", "node", "own", "probe", "index"), "asked")
+    rows = materialise(unlike.join(asked.select("group", "node"), ["group", "node"]).select("group", "node", "fragment", "grams"), "differences")
+    partial = rows.select("group", "grams").mapInArrow(lambda b: countmin.sketch_partition(_differences(b), bits, 1), countmin.SKETCHES)
+    maps = spark.sparkContext.broadcast(countmin.merged(partial, bits, 1)[0])
+    held = materialise(rows.mapInArrow(lambda b: _not_alone(b, maps, bits), _HELD), "held")
+    maps.destroy()
+    discard(rows)
+    enough = held.groupBy("group", "node").agg(F.sum(F.size("grams")).alias("held")).join(asked, ["group", "node"]).where("held >= probe")
+    listed = held.join(_rooted(enough, roots), ["group", "node"]).select("group", "node", "root", "own", "probe", "index", F.explode("grams").alias("gram"))
+    listed = materialise(listed, "listed")
+    discard(held)
+
+    def across(rows: DataFrame, *more: Column) -> DataFrame:
+        ends = rows.groupBy("gram").agg(F.count("*").alias("holders"), F.min("root").alias("a"), F.max("root").alias("z"), *more)
+        return ends.where("a < z").drop("a", "z")
+
+    own = Window.partitionBy("group", "node")
+    found = listed.join(across(listed), "gram").withColumn("count", F.count("*").over(own)).where("count >= probe")
+    found = found.withColumn("rank", F.row_number().over(own.orderBy("holders", "gram"))).where("rank <= count - probe + 1")
+    found = found.select("group", "node", "root", "own", "gram", F.expr("rank <= count - index + 1").alias("leads"))
+    found = materialise(found, "found")
+    discard(listed)
+    lead = across(found, F.max(F.when(F.col("leads"), F.col("own"))).alias("lead")).where("lead is not null")
+    met = found.join(lead, "gram").where("leads or own <= lead")
+    return met.select(F.col("group").alias("parent"), "gram", "node", "root", "own", "leads")
+
+
+def _pair_links(met: DataFrame, unlike: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the linked pairs of ``met``, of a leading node with any other of another component and no larger slack.
+
+    The differences that two nodes share are counted fragment by fragment and summed."""
+    lead = met.where("leads").select("gram", F.col("node").alias("u"), F.col("root").alias("_root"), F.col("own").alias("_own"))
+    pairs = met.join(lead, "gram").where("root != _root and own <= _own")
+    pairs = pairs.select("parent", "u", F.col("node").alias("v"), (F.col("own") + F.col("_own")).alias("slacks")).distinct()
+    one, other = (unlike.select(F.col("group").alias("parent"), "fragment", F.col("node").alias(n), F.col("grams").alias(f"_{n}")) for n in "uv")
+    shared = pairs.join(one, ["parent", "u"]).join(other, ["parent", "fragment", "v"])
+    shared = shared.groupBy("parent", "u", "v", "slacks").agg(F.sum(F.size(F.array_intersect("_u", "_v"))).alias("shared"))
+    return shared.where(F.col("slacks") + 2 * (100 + percent) * F.col("shared") >= 0).select("u", "v")
+
+
+def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, percent: int, bits: int) -> DataFrame | None:
     """(node, root) of the components of all linked pairs of ``nodes(node, size)``; None without any.
 
     ``groups(group, node)``: any two linked nodes share a group. ``segments``: the sets."""
     found, roots = None, None
-    shared = materialise(_open(groups, None), "shared")
+    shared = materialise(_open(groups, None).select("group", "node"), "shared")
     discard(groups)
     groups = _merged(shared).withColumn("parent", F.lit(0).cast("long"))
     # Later rounds compare what a node and the middle of the ``parent`` group don't share: as far apart as the sets.
@@ -314,25 +472,25 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         sets = unlike.select(F.col("group").alias("parent"), "node", "fragment", "grams")
         # Twice what a link may cost is shared out by size; what the distance leaves of it is the slack.
         slack = unlike.groupBy("group", "node").agg(F.sum("differ").alias("distance")).join(nodes, "node")
-        slack = slack.withColumn("slack", F.col("size") * (100 - percent) - F.col("distance") * (100 + percent))
-        best = slack.groupBy("group").agg(F.max(F.struct("slack", "node")).alias("best"))
-        slack = materialise(slack.join(best, "group").select("group", "node", "distance", (F.col("slack") + F.col("best.slack")).alias("left"), "best"), "slack")
-        linked = slack.where("left >= 0 and node != best.node").select(F.col("node").alias("u"), F.col("best.node").alias("v"))
+        slack = slack.withColumn("own", F.col("size") * (100 - percent) - F.col("distance") * (100 + percent))
+        best = slack.groupBy("group").agg(F.max(F.struct("own", "node")).alias("best"))
+        slack = slack.join(best, "group").select("group", "node", "distance", "own", F.col("best.own").alias("most"), F.col("best.node").alias("best"))
+        slack = materialise(slack, "slack")
+        linked = slack.where("own + most >= 0 and node != best").select(F.col("node").alias("u"), F.col("best").alias("v"))
         linked = materialise(linked.distinct(), "linked")
         found = linked if found is None else found.unionAll(linked)
         roots = components(found)
-        # Who is too far from the middle for that can be linked only by shared differences from it, and needs
-        # ``need`` of them with one other node: then two such nodes share one of their distance - need + 1 rarest.
+        # Who is too far from the middle for that can be linked only by shared differences from it.
         still = _open(groups.select("group", "node"), roots).where("members > 3").select("group").distinct()
-        need = F.greatest(F.lit(1), F.ceil(-F.col("left") / (2 * (100 + percent))))
-        asked = slack.join(still, "group").select("group", "node", "distance", (F.col("distance") - need + 1).alias("prefix")).where("prefix > 0")
-        shared = unlike.join(asked, ["group", "node"]).select("group", "node", "distance", "prefix", F.explode("grams").alias("gram"))
-        holders = shared.groupBy("group", "gram").agg(F.count("*").alias("holders")).where("holders > 1")
-        # The rarest are those nobody else has; what is left of the prefix after them is taken from the shared ones.
-        mine = Window.partitionBy("group", "node")
-        shared = shared.join(holders, ["group", "gram"]).withColumn("left", F.col("prefix") - F.col("distance") + F.count("*").over(mine))
-        shared = shared.withColumn("rank", F.row_number().over(mine.orderBy("holders", "gram"))).where("rank <= left")
-        moved = materialise(shared.select(F.xxhash64("group", "gram").alias("group"), "node", F.col("group").alias("parent")), "shared")
+        met = materialise(_meetings_by_difference(slack.join(still, "group"), unlike, roots, percent, bits), "met")
+        leads = materialise(met.groupBy("gram").agg(F.count_if("leads").alias("count")), "leads")
+        more = materialise(_pair_links(met.join(leads.where(F.col("count") <= _LEADS), "gram"), unlike, percent).distinct(), "linked")
+        found = found.unionAll(more)
+        roots = components(found)
+        moved = met.join(leads.where(F.col("count") > _LEADS), "gram").select(F.col("gram").alias("group"), "node", "parent")
+        moved = materialise(moved, "shared")
+        for table in (met, leads):
+            discard(table)
         for table in (slack, groups):
             discard(table)
         groups = moved
@@ -359,7 +517,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id: str
     segments = few.dropDuplicates(["_row"]).join(needed, "_row").mapInArrow(lambda b: _segments(b, words), "node long, fragment int, grams array<long>")
     segments = materialise(segments, "segments")
     maps.destroy()
-    roots = linked_roots(nodes.select("node", "size"), groups, segments, percent)
+    roots = linked_roots(nodes.select("node", "size"), groups, segments, percent, bits)
     placed = _rooted(described.select("_id", "_row", "n_shingles", "node"), roots)
     placed = placed.withColumn("group", F.when(F.col("n_shingles") > 0, F.col("root")))
     least = placed.where("n_shingles > 0").groupBy("group").agg(F.min("_id").alias("least"))
