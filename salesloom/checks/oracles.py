@@ -481,3 +481,76 @@ FROM customer"""
 ORACLES["stream_ingest"] = """
 SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
+
+# --- loads that die, indexes, marts kept up to date, saved output
+
+DIED = """
+loads(n, low, high) AS (VALUES (0, 1995, 1997), (1, 1996, 1999), (2, 1998, 2001)),
+arrived AS (
+  SELECT n, l_returnflag AS file, CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS k, l_extendedprice AS price
+  FROM lineitem JOIN loads ON year(l_shipdate) BETWEEN low AND high),
+firsts AS (SELECT DISTINCT n, file, k FROM arrived),
+marked AS (
+  SELECT *, k IS NULL OR row_number() OVER (PARTITION BY k ORDER BY n, file) = 1 AS fresh FROM firsts)"""
+ORACLES["two_phase_load"] = f"""WITH {DIED},
+counts AS (
+  SELECT n, file, count(*) AS rows_after_dedup, count(*) FILTER (NOT fresh) AS rows_already_existing,
+         count(*) FILTER (fresh) AS rows_inserted FROM marked GROUP BY n, file)
+SELECT 'load_' || n || '_' || file AS load_id, rows_in_file, rows_in_file - rows_after_dedup AS duplicate_rows,
+       rows_after_dedup, rows_already_existing, rows_inserted, rows_inserted AS rows_inserted_derived,
+       rows_inserted AS rows_present_for_hash, 'loaded' AS status
+FROM counts JOIN (SELECT n, file, count(*) AS rows_in_file FROM arrived GROUP BY n, file) USING (n, file)"""
+ORACLES["indexed_load"] = ORACLES["two_phase_load"]
+ORACLES["two_phase_target"] = f"""WITH {DIED}
+SELECT 'load_' || n || '_' || file AS load_id, DATE '{NOW.date()}' + n AS load_date, count(*) AS row_count,
+       count(k) AS key_count FROM marked WHERE fresh GROUP BY n, file"""
+ORACLES["indexed_merge"] = ORACLES["insert_only_merge"]
+UNIQUE = f"""{SALES}, kept AS (
+  SELECT * FROM sales QUALIFY row_number() OVER (
+    PARTITION BY sale_id ORDER BY sale_date, shipped_at, total_amount_ars) = 1)"""
+ORACLES["mart_state_monthly"] = f"""WITH {UNIQUE}
+SELECT date_trunc('month', sale_date)::DATE AS month, {METRICS} FROM kept GROUP BY ALL"""
+ORACLES["mart_state_by_product"] = f"""WITH {UNIQUE}
+SELECT {PRODUCT_KEY} AS product_key, {METRICS} FROM kept GROUP BY ALL"""
+
+
+def versions(since: str) -> str:
+    return f"""days AS (
+  SELECT sku, publication_id, sale_date AS valid_from, product_title, variant FROM sales WHERE {since}
+  QUALIFY row_number() OVER (PARTITION BY sku, publication_id, sale_date ORDER BY sale_id DESC) = 1),
+changes AS (
+  SELECT *, lag((product_title, variant)) OVER own IS DISTINCT FROM (product_title, variant) AS changed
+  FROM days WINDOW own AS (PARTITION BY sku, publication_id ORDER BY valid_from)),
+versions AS (
+  SELECT {PRODUCT_KEY} AS product_key, sku, publication_id, product_title, variant, valid_from,
+         lead(valid_from) OVER (PARTITION BY sku, publication_id ORDER BY valid_from) AS valid_to
+  FROM changes WHERE changed)"""
+
+
+ORACLES["dim_product_history"] = f"WITH {SALES}, {versions('true')} SELECT * FROM versions"
+ORACLES["fct_history"] = f"""WITH {SALES}, {versions("sale_date >= DATE '1996-01-01'")},
+facts AS (SELECT sale_id, sale_date, {PRODUCT_KEY} AS product_key, quantity FROM sales)
+SELECT sale_id, sale_date, f.product_key, quantity, variant, valid_from
+FROM facts f ASOF LEFT JOIN versions v ON f.product_key = v.product_key AND f.sale_date >= v.valid_from"""
+ORACLES["fct_members"] = f"""WITH {SALES}
+SELECT CASE WHEN status_description <> 'O' THEN sku END AS sku, count(*) AS fact_count, sum(quantity)::BIGINT AS units
+FROM sales GROUP BY 1"""
+ORACLES["dq_rules"] = """
+WITH lines AS (SELECT *, l_orderkey || '-' || l_partkey || '-' || l_suppkey AS id, count(*) OVER () AS total FROM lineitem),
+broken AS (
+  SELECT 'large' AS rule, * FROM lines WHERE l_quantity > 49
+  UNION ALL SELECT 'free', * FROM lines WHERE l_extendedprice <= 0
+  UNION ALL SELECT 'late_return', * FROM lines WHERE l_returnflag = 'R' AND l_shipdate >= TIMESTAMP '2000-01-01'),
+chosen AS (
+  SELECT rule, id FROM broken
+  QUALIFY row_number() OVER (PARTITION BY rule, ('0x' || substr(md5(id), 1, 2))::INT % 4 ORDER BY md5(id)) = 1)
+SELECT rule, (SELECT count(*) FROM broken b WHERE b.rule = r.rule) AS failed, (SELECT count(*) FROM lines) AS total,
+       coalesce((SELECT string_agg(id, '|' ORDER BY id) FROM chosen c WHERE c.rule = r.rule), '') AS sample
+FROM (SELECT unnest(['large', 'free', 'late_return']) AS rule) r"""
+ORACLES["saved_sessions"] = f"""WITH {DIED}
+SELECT file || '_processed' AS output, 'p' || substr(sha256('inbox' || n || '/' || n || '_' || file), 1, 8) AS input,
+       count(*) AS csv_rows, count(*) AS parquet_rows, round(sum(price), 2) AS total
+FROM arrived WHERE n < 2 GROUP BY n, file"""
+ORACLES["not_loaded"] = f"""
+SELECT DISTINCT {FILE} AS file_path FROM orders
+WHERE NOT (o_orderpriority <> '1-URGENT' AND (o_orderkey // 256) % 2 = 0)"""

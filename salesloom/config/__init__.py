@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from dataclasses import dataclass, field
 from functools import cached_property
 from pathlib import Path
@@ -110,6 +112,12 @@ class Config:
                     )
         return targets
 
+    @cached_property
+    def version(self) -> str:
+        """Digest of the layout: files read under another one are to be read again."""
+        content = json.dumps([self.aliases, self.required, list(self.schema.items())], sort_keys=True)
+        return hashlib.sha256(content.encode()).hexdigest()[:12]
+
     @property
     def file_columns(self) -> list[str]:
         """Schema columns that come from file cells."""

@@ -32,6 +32,17 @@ def keep_last(df: DataFrame, key: str, order: list[str], null_scope=None) -> Dat
     return keep_one(df, key, [F.col(c).desc() for c in order], null_scope)
 
 
+def first_of_files(df: DataFrame, key: str, file: str, order: list[str]) -> DataFrame:
+    """Each file's first row per key by ``order``, with ``is_first``: whether it is the first of all files.
+
+    Null keys of different files never compete. The second window holds a row per file and key.
+    """
+    own = W.partitionBy(key, file).orderBy(*order)
+    across = W.partitionBy(key, F.when(F.col(key).isNull(), F.col(file))).orderBy(*order)
+    firsts = df.withColumn("_rank", F.row_number().over(own)).filter("_rank = 1")
+    return firsts.withColumn("is_first", F.row_number().over(across) == 1).drop("_rank")
+
+
 def _staged_keys(target: DataFrame, staged: DataFrame, key: str) -> DataFrame:
     """Keys of the target's rows that are staged too; Spark broadcasts the staged side when it is small."""
     return target.select(key).join(staged.select(key).distinct(), key, "left_semi")
@@ -98,6 +109,32 @@ def load_counts(rows: DataFrame, staged: DataFrame, pairs: DataFrame, key: str,
     )
 
 
+def file_counts(rows: DataFrame, firsts: DataFrame, pairs: DataFrame, key: str, by: str) -> DataFrame:
+    """Per file (``by``), as if the files were loaded one after the other: rows arrived, repeats in the file,
+    left after those, already known (to the target, or from an earlier file of the load), inserted.
+
+    ``firsts`` is :func:`first_of_files`, ``pairs`` is :func:`existing_pairs`; the derived count differs
+    where the target repeats a key.
+    """
+    arrived = rows.groupBy(by).agg(F.count("*").alias("rows_in_file"))
+    met = F.coalesce("pairs", F.when(F.col("is_first"), F.lit(0)).otherwise(F.lit(1)))
+    known = (
+        firsts.select(by, key, "is_first")
+        .join(pairs, key, "left")
+        .groupBy(by)
+        .agg(
+            F.count("*").alias("rows_after_dedup"),
+            F.sum(met).cast("long").alias("rows_already_existing"),
+            F.count_if(F.col("is_first") & F.col("pairs").isNull()).alias("rows_inserted"),
+        )
+    )
+    return (
+        arrived.join(known, by)
+        .withColumn("duplicate_rows", F.col("rows_in_file") - F.col("rows_after_dedup"))
+        .withColumn("rows_inserted_derived", F.col("rows_after_dedup") - F.col("rows_already_existing"))
+    )
+
+
 def count_by_hash(target: DataFrame, file_hash: str) -> DataFrame:
     """Target rows that came from the file with this hash, as one row ``row_count``."""
     return target.filter(F.col("file_hash") == F.lit(file_hash)).agg(

@@ -19,7 +19,8 @@ def build_models(
 
     Staging and facts are written once and read back by what follows, so each later
     model scans only the columns it needs.  Facts are range-partitioned on
-    (month, sale) and partitioned by month: date filters prune whole folders.
+    (month, sale) and partitioned by month: date filters prune whole folders.  Each
+    dimension has the member ``UNKNOWN`` for facts without a key.
     """
     config = config or Config()
 
@@ -39,10 +40,10 @@ def build_models(
     products = star.dim_product(staged, NEWEST)
     models = {
         "stg_sales": staged,
-        "dim_date": save("dim_date", star.dim_date(staged)),
-        "dim_product": save("dim_product", products),
-        "dim_location": save("dim_location", star.dim_location(staged)),
-        "dim_status": save("dim_status", star.dim_status(staged)),
+        "dim_date": save("dim_date", star.with_unknown(star.dim_date(staged), "date_key")),
+        "dim_product": save("dim_product", star.with_unknown(products, "product_key")),
+        "dim_location": save("dim_location", star.with_unknown(star.dim_location(staged), "location_key")),
+        "dim_status": save("dim_status", star.with_unknown(star.dim_status(staged), "status_key")),
         "dim_load": save("dim_load", star.dim_load(staged)),
         "fct_sales": save("fct_sales", facts, MONTH),
     }

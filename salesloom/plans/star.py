@@ -138,3 +138,18 @@ def checked_key(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
         .withColumn(key, F.when(F.col("_member"), F.col(key)).otherwise(F.lit(UNKNOWN)))
         .select(*facts.columns)
     )
+
+
+def lookup_checked(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """:func:`checked_key` and :func:`lookup` in one join."""
+    members = dimension.select(key, *columns, F.lit(True).alias("_member"))
+    met = facts.join(members, key, "left")
+    member = F.when(F.col("_member"), F.col(key)).otherwise(F.lit(UNKNOWN))
+    return met.withColumn(key, member).select(*facts.columns, *columns)
+
+
+def with_unknown(dimension: DataFrame, key: str) -> DataFrame:
+    """The dimension and its member ``UNKNOWN``, whose other columns are null: facts without a key meet it."""
+    spark = dimension.sparkSession
+    member = spark.createDataFrame([(UNKNOWN,)], f"`{key}` {dimension.schema[key].dataType.simpleString()}")
+    return dimension.filter(F.col(key) != UNKNOWN).unionByName(member, allowMissingColumns=True)

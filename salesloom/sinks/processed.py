@@ -1,4 +1,4 @@
-"""Processed rows as CSV (UTF-8 with byte-order mark) and Parquet, one folder per input."""
+"""Processed rows as CSV (UTF-8 with byte-order mark) and Parquet, one folder per input file."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 BYTE_ORDER_MARK = "﻿"
 OUTPUT = "output"
+INPUT = "input"
 
 
 @dataclass(frozen=True)
@@ -24,14 +25,19 @@ def output_name(file_name: Column) -> Column:
     return F.concat(F.regexp_replace(file_name, "(?<=.)\\.[^.]*$", ""), F.lit("_processed"))
 
 
+def input_key(file_path: Column) -> Column:
+    """Short digest of an input's whole path; a letter first, so that it is read back as text."""
+    return F.concat(F.lit("p"), F.substring(F.sha2(file_path, 256), 1, 8))
+
+
 def save_processed(rows: DataFrame, output_dir: str) -> Saved:
-    """Write rows under ``output_dir``/{csv,parquet}/output=<stem>_processed/.
+    """Write rows under ``output_dir``/{csv,parquet}/output=<stem>_processed/input=<digest of the path>/.
 
-    Rows stay in the tasks that hold them (no shuffle per file); output of other inputs stays.  The CSV header
+    Inputs of equal names in different folders stay apart.  Rows stay in the tasks that hold them (no shuffle per file); output of other inputs stays.  The CSV header
     starts with a byte-order mark; extra columns travel as JSON.  A Parquet failure
     is reported, not raised.
     """
-    named = rows.withColumn(OUTPUT, output_name(F.col("file_name")))
+    named = rows.withColumns({OUTPUT: output_name(F.col("file_name")), INPUT: input_key(F.col("file_path"))})
     first = named.columns[0]
     flat = named.withColumn("extras", F.to_json("extras")) if "extras" in named.columns else named
     csv_path, parquet_path = f"{output_dir}/csv", f"{output_dir}/parquet"
@@ -40,13 +46,13 @@ def save_processed(rows: DataFrame, output_dir: str) -> Saved:
         .write.mode("overwrite")
         .option("header", True)
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(OUTPUT)
+        .partitionBy(OUTPUT, INPUT)
         .csv(csv_path)
     )
     error = None
     try:
         writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(OUTPUT).parquet(parquet_path)
+        writer.partitionBy(OUTPUT, INPUT).parquet(parquet_path)
     except Exception as problem:
         error = str(problem)
     return Saved(csv_path, parquet_path, error is None, error)

@@ -10,6 +10,7 @@ from salesloom.config import Config, ConfigError
 from salesloom.operators import incremental as I
 from salesloom.operators.conform import Rules
 from salesloom.plans.ingest import ingest
+from salesloom.plans import load
 from salesloom.plans.load import Tables, load_incremental
 from salesloom.streaming.files import ingest_stream, merge_batch, merge_stream, workbook_stream
 
@@ -30,7 +31,9 @@ def test_incremental_load(spark):
     report = {r.file_name: r for r in load_incremental(one.rows, tables=tables, sheets=one.sheets).collect()}
     a, b = report["a"], report["b"]
     assert (a.rows_in_file, a.duplicate_rows, a.rows_after_dedup, a.rows_inserted) == (5, 2, 3, 3)
-    assert (b.rows_in_file, b.rows_after_dedup, b.rows_inserted) == (2, 1, 1)
+    # sale 2 is no repeat within b, but came with a before
+    assert (b.rows_in_file, b.duplicate_rows, b.rows_after_dedup, b.rows_already_existing, b.rows_inserted) == (2, 0, 2, 1, 1)
+    assert (a.rows_present_for_hash, b.rows_present_for_hash) == (3, 1)
     stored = spark.table("t_sales")
     assert sorted((r.sale_id or "", r.sale_status) for r in stored.collect()) == [
         ("", "Entregado"), ("1", "Entregado"), ("2", "Entregado"), ("3", "Entregado")]
@@ -53,6 +56,35 @@ def test_incremental_load(spark):
     assert by_hash == 4
 
 
+@pytest.mark.parametrize("stop", ["staged", "begun", "half appended", "appended", "half settled"])
+def test_a_load_that_died_is_finished(spark, stop):
+    name = "d_" + stop.replace(" ", "_")
+    tables = Tables(name, f"{name}_load", f"{name}_audit")
+    old = batch(spark, {"o": [FLAT, sale(1), sale(None)]}, "s0", 15)
+    load_incremental(old.rows, tables=tables)
+    files = {"a": [FLAT, sale(1), sale(2), sale(3), sale(None)], "b": [FLAT, sale(3), sale(4), sale(None)], "x": [["?"]]}
+    new = batch(spark, files, "s1", 16)
+    if stop == "staged":
+        load.stage(new.rows, Config(), tables)
+    else:
+        load.begin(new.rows, tables=tables, sheets=new.sheets)
+    if stop == "half appended":
+        half = spark.table(tables.staging).filter("sale_id = '2' OR (sale_id IS NULL AND file_name = 'b')")
+        load.append_clustered(half, tables)
+    elif stop in ("appended", "half settled"):
+        load.append(spark, tables)
+    if stop == "half settled":
+        spark.table(tables.pending).filter("file_name = 'a'").drop("run").write.insertInto(tables.audit)
+    for _ in range(2):
+        report = {r.file_name: r for r in load_incremental(new.rows, tables=tables, sheets=new.sheets).collect()}
+        counts = {n: (r.rows_after_dedup, r.rows_already_existing, r.rows_inserted) for n, r in report.items()}
+        assert counts == {"a": (4, 1, 3), "b": (3, 1, 2)}
+        assert sorted(r.sale_id or "" for r in spark.table(name).collect()) == ["", "", "", "1", "2", "3", "4"]
+        statuses = sorted(r.status for r in spark.table(tables.audit).collect())
+        assert statuses == ["loaded"] * 3 + ["rejected: no header"]
+        assert spark.table(tables.pending).isEmpty() and load.recover(spark, tables) == []
+
+
 def test_load_guards(spark):
     with pytest.raises(ConfigError):
         load_incremental(spark.createDataFrame([("1",)], "sale_id string"))

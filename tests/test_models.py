@@ -37,8 +37,9 @@ def test_staging_and_dimensions(models):
     staged = {r.sale_id: r for r in models["stg_sales"].collect()}
     assert staged["1"].buyer_city == "Río Cuarto" and staged["3"].buyer_city is None
     products = {r.sku: r.product_title for r in models["dim_product"].collect()}
-    assert products == {"A": "nuevo", "B": "b"}
-    assert models["dim_date"].count() == 35 and models["dim_location"].count() == 2
+    assert products == {"A": "nuevo", "B": "b", None: None}
+    # with the member of facts without a key
+    assert models["dim_date"].count() == 36 and models["dim_location"].count() == 3
     assert models["dim_load"].count() == 1
 
 
@@ -47,7 +48,10 @@ def test_facts_point_to_members(models):
     assert facts["3"].product_key == star.UNKNOWN and facts["3"].location_key == star.UNKNOWN
     assert facts["4"].date_key == star.UNKNOWN and facts["1"].date_key == 20260105
     known = {r.product_key for r in models["dim_product"].collect()}
-    assert {f.product_key for f in facts.values()} - known == {star.UNKNOWN}
+    assert {f.product_key for f in facts.values()} == known
+    for name in ("date", "product", "location", "status"):
+        met = models["fct_sales"].join(models[f"dim_{name}"], f"{name}_key")
+        assert met.count() == len(facts)
 
 
 def test_marts(models):
@@ -84,6 +88,9 @@ def test_checked_key_sets_unknown(spark):
     members = spark.createDataFrame([(1,)], "k long")
     got = {r.v: r.k for r in star.checked_key(facts, members, "k").collect()}
     assert got == {"x": 1, "y": star.UNKNOWN}
+    named = members.withColumn("name", F.lit("one"))
+    got = {r.v: (r.k, r.name) for r in star.lookup_checked(facts, named, "k", ["name"]).collect()}
+    assert got == {"x": (1, "one"), "y": (star.UNKNOWN, None)}
 
 
 def test_all_or_nothing(spark):

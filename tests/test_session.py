@@ -3,7 +3,9 @@ import hashlib
 import pytest
 from helpers import FLAT, sale, write_workbook
 
+from salesloom.config import Config
 from salesloom.operators.conform import Rules
+from salesloom.plans import session
 from salesloom.plans.load import Tables
 from salesloom.plans.session import run_session
 
@@ -51,3 +53,36 @@ def test_delimited_hashes(spark, tmp_path):
 def test_unknown_source(spark):
     with pytest.raises(ValueError):
         run_session(spark, "x", "nope")
+
+
+def test_known_content_is_not_parsed_again(spark, tmp_path, monkeypatch):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    write_workbook(inbox / "a.xlsx", {"S": [FLAT, sale(1), sale(2)]})
+    tables = Tables("le_sales", "le_load", "le_audit")
+    one = run_session(spark, str(inbox), rules=RULES, tables=tables, skip_known=True)
+    assert [r.rows_inserted for r in one.loaded.collect()] == [2]
+    (inbox / "copy of a.xlsx").write_bytes((inbox / "a.xlsx").read_bytes())
+    parsed = []
+    read = session.read_workbooks
+    monkeypatch.setattr(session, "read_workbooks", lambda s, path, *a: parsed.append(path) or read(s, path, *a))
+    assert run_session(spark, str(inbox), rules=RULES, tables=tables, skip_known=True) == session.Session(None, None, None)
+    assert parsed == []
+    write_workbook(inbox / "b.xlsx", {"S": [FLAT, sale(2), sale(3)]})
+    three = run_session(spark, str(inbox), rules=RULES, tables=tables, skip_known=True)
+    assert [r.file_name for r in three.loaded.collect()] == ["b.xlsx"]
+    assert len(parsed) == 1 and [p.rpartition("/")[2] for p in parsed[0]] == ["b.xlsx"]
+    # another layout reads all files anew
+    other = Config(required=["sale_id"])
+    four = run_session(spark, str(inbox), rules=RULES, tables=tables, config=other, skip_known=True)
+    assert {r.file_name: r.rows_inserted for r in four.loaded.collect()} == {"a.xlsx": 0, "b.xlsx": 0, "copy of a.xlsx": 0}
+
+
+def test_equal_names_are_saved_apart(spark, tmp_path):
+    for folder, ids in (("x", [1, 2]), ("y", [3])):
+        (tmp_path / folder).mkdir()
+        write_workbook(tmp_path / folder / "enero.xlsx", {"S": [FLAT, *map(sale, ids)]})
+        saved = run_session(spark, str(tmp_path / folder), rules=RULES, output_dir=str(tmp_path / "out")).saved
+    back = spark.read.parquet(saved.parquet_path)
+    assert sorted(r.sale_id for r in back.collect()) == ["1", "2", "3"]
+    assert back.select("output", "input").distinct().count() == 2

@@ -90,7 +90,7 @@ def test_workbooks_end_to_end(spark, folder, tmp_path):
     assert {r.output for r in back.select("output").distinct().collect()} == {
         "a_processed", "b_processed"}
     assert back.count() == 3
-    part = next((tmp_path / "out" / "csv" / "output=b_processed").glob("*.csv"))
+    part = next((tmp_path / "out" / "csv" / "output=b_processed").glob("*/*.csv"))
     assert part.read_bytes().startswith(b"\xef\xbb\xbffile_path,sheet,sale_id")
 
 
