@@ -235,7 +235,7 @@ def _first(groups: DataFrame) -> DataFrame:
 
 def _merged(groups: DataFrame) -> DataFrame:
     """Groups joined into one if their first member is the same, again and again while that makes rows fewer by a
-    tenth: most nodes come to be in one group."""
+    quarter: most nodes come to be in one group."""
     rows = groups.count()
     while True:
         merged = groups.join(_first(groups), "group").select(F.col("first").alias("group"), "node").distinct()
@@ -243,7 +243,7 @@ def _merged(groups: DataFrame) -> DataFrame:
         before, rows = rows, merged.count()
         discard(groups)
         groups = merged
-        if 10 * rows >= 9 * before:
+        if 4 * rows >= 3 * before:
             return groups
 
 
@@ -452,11 +452,28 @@ def _pair_links(met: DataFrame, unlike: DataFrame, percent: int) -> DataFrame:
     return shared.where(F.col("slacks") + 2 * (100 + percent) * F.col("shared") >= 0).select("u", "v")
 
 
+def _further(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, root) after more ``links(u, v)``: only links between components are followed."""
+    if roots is None:
+        return components(links)
+    ends = links.join(roots.select(F.col("node").alias("u"), F.col("root").alias("_u")), "u", "left")
+    ends = ends.join(roots.select(F.col("node").alias("v"), F.col("root").alias("_v")), "v", "left")
+    between = ends.select(F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v")).where("u != v").distinct()
+    between = materialise(between, "between")
+    if between.isEmpty():
+        return roots
+    deeper = components(between)
+    # A node that had no link before is a component of its own until now.
+    nodes = roots.unionAll(deeper.select("node", F.col("node").alias("root")).join(roots.select("node"), "node", "left_anti"))
+    nodes = nodes.join(deeper.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return materialise(nodes.select("node", F.coalesce("top", "root").alias("root")), "roots")
+
+
 def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, percent: int, bits: int) -> DataFrame | None:
     """(node, root) of the components of all linked pairs of ``nodes(node, size)``; None without any.
 
     ``groups(group, node)``: any two linked nodes share a group. ``segments``: the sets."""
-    found, roots = None, None
+    roots = None
     shared = materialise(_open(groups, None).select("group", "node"), "shared")
     discard(groups)
     groups = _merged(shared).withColumn("parent", F.lit(0).cast("long"))
@@ -478,15 +495,13 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         slack = materialise(slack, "slack")
         linked = slack.where("own + most >= 0 and node != best").select(F.col("node").alias("u"), F.col("best").alias("v"))
         linked = materialise(linked.distinct(), "linked")
-        found = linked if found is None else found.unionAll(linked)
-        roots = components(found)
+        roots = _further(roots, linked)
         # Who is too far from the middle for that can be linked only by shared differences from it.
         still = _open(groups.select("group", "node"), roots).where("members > 3").select("group").distinct()
         met = materialise(_meetings_by_difference(slack.join(still, "group"), unlike, roots, percent, bits), "met")
         leads = materialise(met.groupBy("gram").agg(F.count_if("leads").alias("count")), "leads")
         more = materialise(_pair_links(met.join(leads.where(F.col("count") <= _LEADS), "gram"), unlike, percent).distinct(), "linked")
-        found = found.unionAll(more)
-        roots = components(found)
+        roots = _further(roots, more)
         moved = met.join(leads.where(F.col("count") > _LEADS), "gram").select(F.col("gram").alias("group"), "node", "parent")
         moved = materialise(moved, "shared")
         for table in (met, leads):
