@@ -100,10 +100,12 @@ def judge_urls(pages: DataFrame, sites: Sequence[SiteRule] = SITE_RULES, pattern
     first = F.min(F.struct("kind", "rank", "rule", "regex", "verdict")).alias("first")
     judged = fetched.join(rules, "token").where(fits).groupBy("_url").agg(first)
     host, path = host_and_path(url)
-    return pages.join(judged, F.col(url) == F.col("_url"), "left").select(
-        *[f"`{c}`" for c in pages.columns],
+    found = judged["first"]
+    # By reference: a table may have columns of these names too.
+    return pages.join(judged, pages[f"`{url}`"] == judged["_url"], "left").select(
+        *[pages[f"`{c}`"] for c in pages.columns],
         host.alias("host"),
         path.alias("path"),
-        F.col("first.rule").alias("rule"),
-        F.coalesce("first.verdict", F.lit("allow")).alias("verdict"),
+        found["rule"].alias("rule"),
+        F.coalesce(found["verdict"], F.lit("allow")).alias("verdict"),
     )
