@@ -186,18 +186,26 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id: str = "d
     return fit_rules(with_statistics(labelled).orderBy(F.xxhash64(*STATISTICS), "label").limit(sample))
 
 
+def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns that are named like a statistic renamed, and their names."""
+    taken = {s.lower() for s in STATISTICS}
+    own = {f"_own_{i}": c for i, c in enumerate(docs.columns) if c.lower() in taken}
+    return docs.withColumnsRenamed({c: n for n, c in own.items()}), own
+
+
 def score_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id: str = "doc_id", threshold: float = 0.7) -> DataFrame:
     """``docs`` without ``text``, with ``held_out`` (a null id is), ``score`` (that the label is 1) and ``predicted``."""
     rules = learn(docs, labels, sample, id)
-    docs = without(docs, "held_out", "score", "predicted")
-    kept = [f"`{c}`" for c in docs.columns if c != "text" and c not in STATISTICS]
+    docs, own = _aside(without(docs, "held_out", "score", "predicted"))
+    kept = [f"`{c}`" for c in docs.columns if c != "text"]
     scored = with_statistics(docs).withColumn("held_out", F.coalesce(~training_row(id), F.lit(True))).withColumn("score", rules.score())
-    return scored.select(*kept, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(*kept, "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted")).withColumnsRenamed(own)
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, sample: int = 20_000, id: str = "doc_id", threshold: float = 0.7) -> DataFrame:
     """The documents with a score of at least ``threshold``, with their own columns."""
     rules = learn(docs, labels, sample, id)
+    docs, own = _aside(docs)
     return with_statistics(docs.withColumn("_text", F.col("text"))).where(rules.score() >= threshold).select(
         *[(F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`")) for c in docs.columns]
-    )
+    ).withColumnsRenamed(own)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm.test_text import DOCS, words_of
-from salesloom.llm import line_dedup, ngram_join, substring_dedup, url_filter
+from salesloom.llm import line_dedup, ngram_join, quality, substring_dedup, url_filter
 from salesloom.llm.components import components
 
 
@@ -111,9 +111,12 @@ def test_urls(spark):
         None: ("", "", None, "allow"),
     }
     df = spark.createDataFrame([(u, 1) for u in urls] * 2, "url string, rule int")
+    df = df.withColumns({"_url": F.lit("x"), "first": F.lit(2), "kind": F.lit(3), "token": F.lit("net")})
     got = url_filter.judge_urls(df).collect()
     assert len(got) == 2 * len(urls)
     assert all((r.host, r.path, r.rule, r.verdict) == urls[r.url] for r in got)
+    assert {(r._url, r["first"], r.kind, r.token) for r in got} == {("x", 2, 3, "net")}
+    assert url_filter.judge_urls(df.limit(0)).count() == 0
 
 
 def test_lines(spark):
@@ -154,3 +157,18 @@ def test_null_and_empty_texts_are_one_page(spark):
     docs = [(i, "h", f"{'same' if i < 10 else f'x{i}'}\nu{i}") for i in range(198)] + [(300, "h", None), (301, "h", "")]
     got = line_dedup.drop_boilerplate(spark.createDataFrame(docs, "doc_id long, source string, text string"), ratio=0.05023).collect()
     assert {r.doc_id for r in got if r.n_dropped and r.doc_id < 10} == set(range(10))  # 10 of 199 pages, not of 200
+
+
+def test_quality_keeps_columns_named_like_statistics(spark):
+    good, bad = "a plain line of several common words .", "zz zz zz ## 99 %%"
+    docs = [(i, good if i % 2 else bad, f"own {i}", -1.0) for i in range(60)] + [(70, None, "own 70", -1.0), (71, "", "own 71", -1.0)]
+    df = spark.createDataFrame(docs, f"doc_id long, text string, note string, {quality.STATISTICS[1]} double")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    scored = quality.score_quality(df, labels)
+    assert scored.columns == ["doc_id", "note", quality.STATISTICS[1], "held_out", "score", "predicted"]
+    rows = {r.doc_id: r for r in scored.collect()}
+    assert len(rows) == 62 and {r[2] for r in rows.values()} == {-1.0} and all(0 <= r.score <= 1 for r in rows.values())
+    assert all(rows[i].predicted == i % 2 for i in range(60))
+    kept = quality.keep_quality(df, labels)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [d for d in docs if rows[d[0]].predicted]
