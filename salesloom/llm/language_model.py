@@ -6,9 +6,9 @@ restaurant of all words, whose own base is uniform over the training vocabulary
 seats all customers anew, given everyone else's tables; the probabilities predicted by the states after the
 burn-in are averaged, and a text's score is the log10 of the product over its tokens.
 
-A context is the word before, or the text's beginning. Within a sweep totals are those of the sweep before, and
-customers of a word in a restaurant beyond the 16th are seated in groups of a sixteenth of those seated, with
-one binomial draw each.
+A context is the word before, or the text's beginning. A step seats all customers of a word in a restaurant at
+once, by the conditional distribution of their tables: up to 1,024 customers exactly, more of them by the limit law
+of the same sums. Within a sweep the totals of other words and restaurants are those of the sweep before.
 
 Scale: the state is spread by the hash of (word before, word), so the pairs of a frequent word are on all shards.
 Pairs are counted per task before they are shuffled. After a sweep each shard sends one sum for each of its
@@ -24,7 +24,8 @@ token is unknown; a null id is held out; repeated rows are separate documents; e
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
+from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ from salesloom.scratch import discard, materialise
 
 _FLUSH = 1_000_000
 _SHARD_BYTES = 1 << 22  # of training text
+_NODE_BYTES = 1 << 25
+_EXACT = 1024  # customers of a dish whose seatings are summed exactly
 _BEGIN = U64(0x626567)  # the contexts and words that no text has
 _END = U64(0x656E64)
 _PAIR, _CONTEXT, _WORD, _HOME = 0, 1, 2, 3
@@ -183,20 +186,64 @@ def _total(table: pa.Table, t: Totals | None, discount: float, strength: float,
     return pa.Table.from_batches(back)
 
 
+@lru_cache(maxsize=4)
+def _log_seatings(discount: float, size: int) -> np.ndarray:
+    """[customers, tables]: log of the summed weights of all ways to seat them (generalised Stirling numbers)."""
+    made = np.full((size + 1, size + 1), -np.inf)
+    made[0, 0] = 0.0
+    for c in range(size):
+        joined = made[c, 1:].copy()
+        joined[:c] += np.log(c - discount * np.arange(1, c + 1))
+        made[c + 1, 1:] = np.logaddexp(made[c, :-1], joined)
+    return made
+
+
+@lru_cache(maxsize=4)
+def _log_scaled(discount: float) -> np.ndarray:
+    """By tables: log of the chance that so many independent tables have ``_EXACT`` customers together."""
+    t = np.arange(1, _EXACT + 1)
+    return _log_seatings(discount, _EXACT)[_EXACT, 1:] + np.cumsum(np.log(t)) + t * np.log(discount)
+
+
+def _ways(customers: np.ndarray, t: int, discount: float) -> np.ndarray:
+    """Log weight of all seatings at ``t`` tables, up to a constant of each dish.
+
+    Table sizes are Sibuya variables, whose sums follow a stable law: the chance that t tables have c customers
+    is a function of t / c**discount over c, which is read off at ``_EXACT`` for more of them.
+    """
+    found = _log_seatings(discount, _EXACT)[np.minimum(customers, _EXACT), min(t, _EXACT)]
+    far = np.flatnonzero(customers > _EXACT)
+    if len(far):
+        chances = _log_scaled(discount)
+        at = t * (_EXACT / customers[far]) ** discount
+        chance = np.interp(at, np.arange(1, _EXACT + 1), chances, right=-np.inf) + np.log(np.minimum(at, 1))
+        found[far] = chance - lgamma(t + 1) - t * log(discount)
+    return found
+
+
 def seat(rng, customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float) -> np.ndarray:
-    """Tables at which that many customers of a dish come to sit, with ``others`` tables of other dishes
-    and probability ``base`` of the dish at a new table."""
+    """A Gibbs step: tables of each dish given its customers, ``others`` tables of other dishes and probability
+    ``base`` of the dish at a new table, drawn from the conditional distribution with all seatings summed.
+
+    Numbers of tables are tried in ascending order, until their weights are under e**-40 of the largest.
+    """
     tables = np.minimum(customers, 1)
-    seated = 1
-    while True:
-        active = np.flatnonzero(customers > seated)
-        if not len(active):
-            return tables
-        upto = seated + max(1, seated // 16)
-        group = np.minimum(customers[active], upto) - seated
-        fresh = (strength + discount * (others[active] + tables[active])) * base[active]
-        tables[active] += rng.binomial(group, fresh / (fresh + np.maximum(seated - discount * tables[active], 1e-9)))
-        seated = upto
+    active = np.flatnonzero(customers > 1)
+    own, rest, log_base = customers[active], others[active], np.log(base[active])
+    weight, highest, best = np.zeros(len(active)), np.full(len(active), -np.inf), np.full(len(active), -np.inf)
+    t = 1
+    while len(active):
+        weight += log_base + np.log(strength + discount * (rest + (t - 1)))
+        whole = weight + _ways(own, t, discount)
+        highest = np.maximum(highest, whole)
+        drawn = whole + rng.gumbel(size=len(active))
+        better = drawn > best
+        tables[active[better]] = t
+        best = np.maximum(best, drawn)
+        t += 1
+        on = (own >= t) & (whole > highest - 40)
+        active, own, rest, log_base, weight, highest, best = (x[on] for x in (active, own, rest, log_base, weight, highest, best))
+    return tables
 
 
 class Totals:
@@ -246,7 +293,7 @@ class Model:
 def fit(texts: DataFrame, burn_in: int = 2, samples: int = 3, strength: float = 1.0, seed: int = 8) -> Model:
     """The model of ``texts(text)``."""
     size = texts.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    shards, spread = max(16, size // _SHARD_BYTES), max(8, size // _SHARD_BYTES // 8)
+    shards, spread = max(16, size // _SHARD_BYTES), max(8, size // _NODE_BYTES)
     counts = texts.select("text").mapInArrow(lambda b: _count(b, shards), "shard int, before binary, words binary, counts binary")
     state = materialise(counts.groupBy("shard").applyInArrow(_opened, _STATE), "state")
     ones, twos = state.agg(F.sum("ones"), F.sum("twos")).first()

@@ -184,6 +184,46 @@ def test_seating_bounds():
     assert (tables <= customers).all() and (tables >= np.minimum(customers, 1)).all()
 
 
+def seatings(customers, others, base, discount, strength):
+    """Probability of each number of tables, from every way to seat the customers one after the other."""
+    found = {}
+
+    def sit(tables, left, weight):
+        if not left:
+            found[len(tables)] = found.get(len(tables), 0) + weight
+            return
+        sit([*tables, 1], left - 1, weight * (strength + discount * (others + len(tables))) * base)
+        for i, size in enumerate(tables):
+            sit([*tables[:i], size + 1, *tables[i + 1 :]], left - 1, weight * (size - discount))
+
+    sit([], customers, 1.0)
+    return {t: w / sum(found.values()) for t, w in found.items()}
+
+
+@pytest.mark.parametrize("customers,others,base,discount,strength", [(2, 0, 0.3, 0.5, 1.0), (5, 3, 0.4, 0.7, 1.0), (7, 40, 0.2, 0.2, 2.0)])
+def test_seating_is_the_exact_conditional(customers, others, base, discount, strength):
+    n = 40_000
+    drawn = language_model.seat(np.random.default_rng(4), np.full(n, customers), np.full(n, others), np.full(n, base), discount, strength)
+    want = seatings(customers, others, base, discount, strength)
+    for tables, chance in want.items():
+        assert abs((drawn == tables).mean() - chance) < 4 * (chance / n) ** 0.5 + 1e-4
+
+
+@pytest.mark.parametrize("customers,others,base,discount", [(1500, 20, 0.1, 0.6), (2500, 2000, 0.01, 0.6), (2500, 5, 0.001, 0.8), (2500, 3000, 0.1, 0.7)])
+def test_seating_of_many_customers(customers, others, base, discount):
+    """Beyond 1,024 customers, against the distribution with all seatings summed exactly."""
+    n = 10_000
+    drawn = language_model.seat(np.random.default_rng(5), np.full(n, customers), np.full(n, others), np.full(n, base), discount, 1.0)
+    t = np.arange(1, customers + 1)
+    weight = language_model._log_seatings(discount, customers)[customers, 1:] + t * math.log(base) + np.cumsum(np.log(1 + discount * (others + t - 1)))
+    want = np.exp(weight - weight.max())
+    want /= want.sum()
+    mean = (want * t).sum()
+    spread = (want * (t - mean) ** 2).sum() ** 0.5
+    assert abs(drawn.mean() - mean) < 0.02 * mean + 4 * spread / n**0.5
+    assert abs(np.bincount(drawn, minlength=customers + 1)[1:] / n - want).sum() < 0.15
+
+
 def test_contamination(spark):
     random.seed(4)
     vocabulary = [f"w{i}" for i in range(300)]
