@@ -38,6 +38,31 @@ def ungaps(content: bytes, kind: type) -> np.ndarray:
     return np.cumsum(unplanes(content, kind), dtype=kind)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """``planes`` without the high ones that hold zeros only, behind the number of those left."""
+    each = values.view(np.uint8).reshape(len(values), values.itemsize).T
+    used = max((k + 1 for k in range(len(each)) if each[k].any()), default=0)
+    return bytes([used]) + np.ascontiguousarray(each[:used]).tobytes() + (b"" if used else len(values).to_bytes(8, "little"))
+
+
+def unpacked(content: bytes, kind: type) -> np.ndarray:
+    used = content[0]
+    if not used:
+        return np.zeros(int.from_bytes(content[1:9], "little"), kind)
+    flat = np.frombuffer(content, np.uint8, offset=1).reshape(used, -1)
+    whole = np.zeros((flat.shape[1], np.dtype(kind).itemsize), np.uint8)
+    whole[:, :used] = flat.T
+    return whole.view(kind).reshape(-1)
+
+
+def packed_gaps(ascending: np.ndarray) -> bytes:
+    return packed(np.diff(ascending, prepend=ascending.dtype.type(0)))
+
+
+def unpacked_gaps(content: bytes, kind: type) -> np.ndarray:
+    return np.cumsum(unpacked(content, kind), dtype=kind)
+
+
 def rows_of(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
     """Rows of batches whose rows are few and hold whole arrays."""
     for batch in batches:

@@ -33,12 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.llm.frames import gaps, out, planes, rows_of, ungaps, unplanes
+from salesloom.llm.frames import out, packed, packed_gaps, rows_of, unpacked, unpacked_gaps
 from salesloom.llm.words import U64, Batch, mixed, split_words, text_batches, word_hashes
 from salesloom.scratch import discard, materialise
 
 _FLUSH = 1_000_000
-_SHARD_BYTES = 1 << 22  # of training text
+_SHARD_BYTES = 1 << 20  # of training text
 _NODE_BYTES = 1 << 25
 _EXACT = 1024  # customers of a dish whose seatings are summed exactly
 _BEGIN = U64(0x626567)  # the contexts and words that no text has
@@ -95,7 +95,7 @@ def _count(batches, shards: int) -> Iterator[pa.RecordBatch]:
         counts = np.diff(np.append(new, len(keys))).astype(np.uint32)
         keys, first = keys[new], order[new]
         for k, at in _cuts(keys, shards):
-            yield out(_COUNTS, shard=[k], before=[before[first[at]].tobytes()], words=[own[first[at]].tobytes()], counts=[planes(counts[at])])
+            yield out(_COUNTS, shard=[k], before=[before[first[at]].tobytes()], words=[own[first[at]].tobytes()], counts=[packed(counts[at])])
 
     held, size = [], 0
     for batch in batches:
@@ -120,22 +120,22 @@ _STATE_SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in (f.split() for f in _STATE
 
 def _state(fixed: dict, tables, summed, top) -> pa.Table:
     columns = {n: [fixed[n]] for n in _FIXED}
-    return pa.Table.from_batches([out(_STATE_SCHEMA, **columns, tables=[planes(tables)], summed=[planes(summed)], top=[planes(top)])])
+    return pa.Table.from_batches([out(_STATE_SCHEMA, **columns, tables=[packed(tables)], summed=[packed(summed)], top=[packed(top)])])
 
 
 def _opened(table: pa.Table) -> pa.Table:
     """A shard's first state: one table for each word in each restaurant."""
     parts = list(rows_of(table.to_batches()))
     before, own = (np.concatenate([_raw(p[c]) for p in parts]) for c in ("before", "words"))
-    counts = np.concatenate([unplanes(p["counts"], np.uint32) for p in parts]).astype(np.int64)
+    counts = np.concatenate([unpacked(p["counts"], np.uint32) for p in parts]).astype(np.int64)
     keys = pair_keys(before, own)
     order = np.argsort(keys)
     new = _distinct(keys[order])
     customers, first = np.add.reduceat(counts[order], new), order[new]
     contexts, context = np.unique(before[first], return_inverse=True)
     vocabulary, word = np.unique(own[first], return_inverse=True)
-    fixed = {"shard": parts[0]["shard"], "contexts": gaps(contexts), "vocabulary": gaps(vocabulary), "customers": planes(customers)}
-    fixed |= {"before": planes(context.astype(np.uint32)), "words": planes(word.astype(np.uint32))}
+    fixed = {"shard": parts[0]["shard"], "contexts": packed_gaps(contexts), "vocabulary": packed_gaps(vocabulary), "customers": packed(customers)}
+    fixed |= {"before": packed(context.astype(np.uint32)), "words": packed(word.astype(np.uint32))}
     fixed |= {"ones": int((customers == 1).sum()), "twos": int((customers == 2).sum())}
     return _state(fixed, np.ones(len(first), np.int64), np.zeros(len(first), np.int64), np.ones(len(vocabulary), np.int64))
 
@@ -151,13 +151,13 @@ _SENT_SCHEMA = pa.schema([("kind", pa.int32()), ("node", pa.int32()), ("shard",
 def _send(batches, nodes: int) -> Iterator[pa.RecordBatch]:
     """A shard's sums of each of its contexts and words, by node."""
     for row in rows_of(batches):
-        customers, tables, top = (unplanes(row[c], np.int64) for c in ("customers", "tables", "top"))
+        customers, tables, top = (unpacked(row[c], np.int64) for c in ("customers", "tables", "top"))
         for kind, names, column in ((_CONTEXT, "contexts", "before"), (_WORD, "vocabulary", "words")):
-            keys, at = ungaps(row[names], np.uint64), unplanes(row[column], np.uint32)
+            keys, at = unpacked_gaps(row[names], np.uint64), unpacked(row[column], np.uint32)
             sums = [_sums(at, x, len(keys)) for x in (customers, tables)]
             more = top if kind == _WORD else np.zeros(len(keys), np.int64)
             for k, own in _cuts(keys, nodes):
-                yield out(_SENT_SCHEMA, kind=[kind], node=[k], shard=[row["shard"]], keys=[gaps(keys[own])], customers=[planes(sums[0][own])], tables=[planes(sums[1][own])], top=[planes(more[own])])
+                yield out(_SENT_SCHEMA, kind=[kind], node=[k], shard=[row["shard"]], keys=[packed_gaps(keys[own])], customers=[packed(sums[0][own])], tables=[packed(sums[1][own])], top=[packed(more[own])])
 
 
 # What a node returns to each shard (tables, top, in the order of the keys sent), and its whole table as shard -1.
@@ -168,21 +168,21 @@ _NODES_SCHEMA = _SENT_SCHEMA.append(pa.field("totals", pa.list_(pa.float64())))
 def _total(table: pa.Table, t: Totals | None, discount: float, strength: float, seed: int) -> pa.Table:
     parts = list(rows_of(table.to_batches()))
     kind, node = parts[0]["kind"], parts[0]["node"]
-    each = [ungaps(p["keys"], np.uint64) for p in parts]
+    each = [unpacked_gaps(p["keys"], np.uint64) for p in parts]
     keys, at = np.unique(np.concatenate(each), return_inverse=True)
-    customers, tables = (_sums(at, np.concatenate([unplanes(p[c], np.int64) for p in parts]), len(keys)) for c in ("customers", "tables"))
+    customers, tables = (_sums(at, np.concatenate([unpacked(p[c], np.int64) for p in parts]), len(keys)) for c in ("customers", "tables"))
     top = np.zeros(len(keys), np.int64)
-    top[at] = np.concatenate([unplanes(p["top"], np.int64) for p in parts])
+    top[at] = np.concatenate([unpacked(p["top"], np.int64) for p in parts])
     if kind == _WORD and t is not None:
         rng = np.random.default_rng([seed, node])
         top = seat(rng, tables, t.top_tables - top, np.full(len(keys), 1 / (t.words + 1)), discount, strength)
     totals = [customers.sum(), tables.sum(), top.sum(), len(keys), (tables == 1).sum(), (tables == 2).sum()]
-    whole = out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[-1], keys=[gaps(keys)], customers=[planes(customers)], tables=[planes(tables)], top=[planes(top)], totals=[list(map(float, totals))])
+    whole = out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[-1], keys=[packed_gaps(keys)], customers=[packed(customers)], tables=[packed(tables)], top=[packed(top)], totals=[list(map(float, totals))])
     back, begin = [whole], 0
     for p, own in zip(parts, each, strict=True):
         mine = at[begin : begin + len(own)]
         begin += len(own)
-        back.append(out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[p["shard"]], keys=[None], customers=[None], tables=[planes(tables[mine])], top=[planes(top[mine])], totals=[None]))
+        back.append(out(_NODES_SCHEMA, kind=[kind], node=[node], shard=[p["shard"]], keys=[None], customers=[None], tables=[packed(tables[mine])], top=[packed(top[mine])], totals=[None]))
     return pa.Table.from_batches(back)
 
 
@@ -268,9 +268,9 @@ def _sweep(state: pa.Table, nodes: pa.Table, t: Totals, discounts, strength: flo
     low, top_discount = discounts
     row = next(rows_of(state.to_batches()))
     told = sorted(rows_of(nodes.to_batches()), key=lambda p: p["node"])
-    others, sent, top = (np.concatenate([unplanes(p[c], np.int64) for p in told if p["kind"] == kind]) for kind, c in ((_CONTEXT, "tables"), (_WORD, "tables"), (_WORD, "top")))
-    context, word = (unplanes(row[c], np.uint32) for c in ("before", "words"))
-    customers, tables, summed = (unplanes(row[c], np.int64) for c in ("customers", "tables", "summed"))
+    others, sent, top = (np.concatenate([unpacked(p[c], np.int64) for p in told if p["kind"] == kind]) for kind, c in ((_CONTEXT, "tables"), (_WORD, "tables"), (_WORD, "top")))
+    context, word = (unpacked(row[c], np.uint32) for c in ("before", "words"))
+    customers, tables, summed = (unpacked(row[c], np.int64) for c in ("customers", "tables", "summed"))
     rest = sent[word] - tables  # of the word's customers in the parent, those from other contexts
     base = base_probability(rest, top[word] * (rest / sent[word]), t, top_discount, strength)
     rng = np.random.default_rng([seed, row["shard"]])
@@ -349,9 +349,9 @@ def _ask(batches, shards: int, spread: int) -> Iterator[pa.RecordBatch]:
         words, word = np.unique(own[first], return_inverse=True)
         for kind, asked, n in ((_PAIR, keys[new], shards), (_CONTEXT, contexts, spread), (_WORD, words, spread)):
             for k, at in _cuts(asked, n):
-                yield out(_ASKED, **none | {"kind": [kind], "shard": [k], "flush": [number], "keys": [gaps(asked[at])]})
-        home = [planes(x.astype(np.uint32)) for x in (counts, rows, context, word)]
-        yield out(_ASKED, kind=[_HOME], shard=[-1], flush=[number], keys=[None], **dict(zip(("counts", "rows", "before", "words"), [[x] for x in home], strict=True)), names=[planes(np.concatenate(names))])
+                yield out(_ASKED, **none | {"kind": [kind], "shard": [k], "flush": [number], "keys": [packed_gaps(asked[at])]})
+        home = [packed(x.astype(np.uint32)) for x in (counts, rows, context, word)]
+        yield out(_ASKED, kind=[_HOME], shard=[-1], flush=[number], keys=[None], **dict(zip(("counts", "rows", "before", "words"), [[x] for x in home], strict=True)), names=[packed(np.concatenate(names))])
 
     held, names, size, count = [], [], 0, 0
     for batch in batches:
@@ -384,22 +384,22 @@ def _answer(asked: pa.Table, have: pa.Table, model: tuple) -> pa.Table:
     if kind == _PAIR:
         if parts:
             pairs = (("contexts", "before"), ("vocabulary", "words"))
-            keys = pair_keys(*[ungaps(parts[0][n], np.uint64)[unplanes(parts[0][c], np.uint32)] for n, c in pairs])
-            values = [unplanes(parts[0]["customers"], np.int64) - low * unplanes(parts[0]["summed"], np.int64) / len(totals)]
+            keys = pair_keys(*[unpacked_gaps(parts[0][n], np.uint64)[unpacked(parts[0][c], np.uint32)] for n, c in pairs])
+            values = [unpacked(parts[0]["customers"], np.int64) - low * unpacked(parts[0]["summed"], np.int64) / len(totals)]
         absent = [0.0]
     else:
         parts.sort(key=lambda p: p["sample"])
         if parts:
-            keys, customers = ungaps(parts[0]["keys"], np.uint64), unplanes(parts[0]["customers"], np.int64)
+            keys, customers = unpacked_gaps(parts[0]["keys"], np.uint64), unpacked(parts[0]["customers"], np.int64)
             values = [customers]
         for p in parts:
-            tables, top = unplanes(p["tables"], np.int64), unplanes(p["top"], np.int64)
+            tables, top = unpacked(p["tables"], np.int64), unpacked(p["top"], np.int64)
             values.append((strength + low * tables) / (strength + customers) if kind == _CONTEXT else base_probability(tables, top, totals[p["sample"]], top_discount, strength))
         absent = [0.0, *[1.0 if kind == _CONTEXT else base_probability(0, 0, t, top_discount, strength) for t in totals]]
     values = [np.append(v, a) for v, a in zip(values or [np.empty(0)] * len(absent), absent, strict=True)]
     made = []
     for row in rows_of(asked.to_batches()):
-        own = ungaps(row["keys"], np.uint64)
+        own = unpacked_gaps(row["keys"], np.uint64)
         at = np.searchsorted(keys, own)
         at[at < len(keys)] = np.where(keys[at[at < len(keys)]] == own[at < len(keys)], at[at < len(keys)], len(keys))
         made.append(out(_TOLD, flush=[row["flush"]], kind=[kind], shard=[row["shard"]], values=[np.stack([v[at] for v in values]).tobytes()]))
@@ -413,8 +413,8 @@ def _named(asked: pa.Table, told: pa.Table, model: tuple) -> pa.Table:
     """A flush's documents with their sums."""
     totals, _, strength = model
     home = next(rows_of(asked.to_batches()))
-    names = unplanes(home["names"], np.int64).reshape(-1, 3)
-    counts, rows, context, word = (unplanes(home[c], np.uint32) for c in ("counts", "rows", "before", "words"))
+    names = unpacked(home["names"], np.int64).reshape(-1, 3)
+    counts, rows, context, word = (unpacked(home[c], np.uint32) for c in ("counts", "rows", "before", "words"))
     parts = sorted(rows_of(told.to_batches()), key=lambda p: p["shard"])
     width = {_PAIR: 1, _CONTEXT: 1 + len(totals), _WORD: 1 + len(totals)}
     (held,), (room, *fresh), (seen, *ground) = (np.concatenate([np.frombuffer(p["values"]).reshape(n, -1) for p in parts if p["kind"] == k], axis=1) for k, n in width.items())

@@ -16,6 +16,7 @@ import tiktoken
 import xxhash
 
 from salesloom.llm import bpe, decontaminate, fingerprints, language, language_model, quality
+from salesloom.llm.frames import packed, packed_gaps, unpacked, unpacked_gaps
 from salesloom.llm.words import gram_hashes, gram_starts, split_words, text_batches, word_hashes
 
 DOCS = "doc_id long, text string"
@@ -177,6 +178,15 @@ def test_language_model_asks_for_a_hot_word_once(spark):
     assert sizes[0] == sizes[1] and sizes[0][2] == 0
 
 
+@pytest.mark.parametrize("values", [[], [0, 0], [0, 255, 3], [1, 1 << 40, 0], [-1, 5], [2**63 - 1]])
+def test_packed_integers(values):
+    values = np.array(values, np.int64)
+    assert (unpacked(packed(values), np.int64) == values).all()
+    ascending = np.sort(values.astype(np.uint64))
+    assert (unpacked_gaps(packed_gaps(ascending), np.uint64) == ascending).all()
+    assert len(unpacked(packed(values), np.int64)) == len(values)
+
+
 def test_seating_bounds():
     rng = np.random.default_rng(1)
     customers = np.array([0, 1, 2, 50, 100_000])
