@@ -3,9 +3,27 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries that begin in here delete their shuffle files when they end, not when the driver collects garbage."""
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the session's checkpoint folder, or under its warehouse
@@ -20,7 +38,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss,
     and gives later joins the real size of the data."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _shuffles_freed(df.sparkSession):  # nobody reads them once the result is written
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
