@@ -482,6 +482,8 @@ ORACLES["stream_ingest"] = """
 SELECT user_id, event_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1"""
 
+ORACLES["stream_compacted"] = ORACLES["stream_ingest"]
+
 # --- loads that die, indexes, marts kept up to date, saved output
 
 DIED = """

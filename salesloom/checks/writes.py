@@ -16,6 +16,7 @@ from salesloom.plans import history, load, mart_state, quality, star
 from salesloom.samples import table
 from salesloom.scratch import materialise, scratch_path
 from salesloom.sinks.processed import save_processed
+from salesloom.streaming import compaction
 
 LOADS = [(1995, 1997), (1996, 1999), (1998, 2001)]  # years of shipping; they overlap
 
@@ -232,3 +233,25 @@ def not_loaded(spark, folder):
     result = materialise(load.not_loaded(spark, files, CONFIG, tables).select("file_path"), "files")
     _gone(spark, tables)
     return result
+
+
+WAVES = 4
+
+
+@query
+def stream_compacted(spark, folder):
+    """Events in waves of two files, a micro-batch per file, compacted behind each wave: the first event per user stays.
+
+    The last batch of a wave is compacted with the next one, so a reader always meets a base and batches behind it."""
+    events = table(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    wave = F.least(F.floor((F.col("event_id") - low) * WAVES / (high - low + 1)), F.lit(WAVES - 1)) if events.head(1) else F.lit(0)
+    inbox, path, mark = (scratch_path(spark, n) for n in ("inbox", "merged", "progress"))
+    for number in range(WAVES):
+        # A user's events of one wave are in one file.
+        events.where(wave == number).repartition(2, "user_id").write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        compaction.merge_stream(arriving, path, "user_id", ["event_id"], mark).awaitTermination()
+        compaction.compact(spark, path, events.schema, "user_id", upto=2 * number, files=2)
+        compaction.expire(spark, path)
+    return compaction.read_compacted(spark, path, events.schema)
