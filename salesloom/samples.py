@@ -168,13 +168,13 @@ def sales(spark: SparkSession, folder: str) -> DataFrame:
     lines, orders = table(spark, folder, "lineitem"), table(spark, folder, "orders")
     part, customer = table(spark, folder, "part"), table(spark, folder, "customer")
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
+    # Lines shuffle twice, to their part while they are narrow and to their order, which has met its buyer by then.
+    bought = (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
         .join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
-        .join(part, lines.l_partkey == part.p_partkey)
     )
+    joined = lines.join(part, lines.l_partkey == part.p_partkey).join(bought, lines.l_orderkey == bought.o_orderkey)
     return joined.select(
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("sale_id"),
         F.to_date("o_orderdate").alias("sale_date"),
