@@ -651,7 +651,7 @@ def fct_lookup(spark, folder):
     facts = star.fct_sales(sold).select("sale_id", "product_key", "quantity")
     checked = star.checked_key(facts, products, "product_key")
     return (
-        star.lookup(checked, products, "product_key", ["sku"])
+        star.lookup(checked, products, "product_key", ["sku"], spread_by=["sale_id"])
         .groupBy("sku")
         .agg(F.count("*").alias("fact_count"), F.sum("quantity").alias("units"))
     )

@@ -14,6 +14,7 @@ from salesloom.functions.text import strip
 from salesloom.operators.incremental import keep_last
 
 UNKNOWN = -1
+_PART = "_part"
 PRODUCT = ("sku", "publication_id")
 PRODUCT_DETAILS = ("product_title", "variant")
 LOCATION = ("buyer_country", "buyer_state", "buyer_city")
@@ -121,13 +122,37 @@ def fct_sales(sales: DataFrame) -> DataFrame:
     return sales.select("sale_id", "sale_date", *keys, *load, *measures)
 
 
-def lookup(facts: DataFrame, dimension: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def _met(facts: DataFrame, dimension: DataFrame, key: str, how: str, spread_by: list[str] | None) -> DataFrame:
+    """``facts`` joined with ``dimension``, those without a key (``UNKNOWN`` or null) spread over as many parts as a
+    shuffle has.
+
+    Such facts share one key, however many they are, and compress so well that Spark does not see the skew. The part
+    of a fact comes from its own columns, ``spread_by`` or all that can be hashed; the unknown member is in each part.
+    """
+    parts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = spread_by or [f.name for f in facts.schema if "map<" not in f.dataType.simpleString()]
+    unknown = F.lit(str(UNKNOWN)).try_cast(facts.schema[key].dataType)
+    keyless = F.col(key).isNull() | F.col(key).eqNullSafe(unknown)
+    own = F.when(keyless, F.pmod(F.xxhash64(*told), F.lit(parts)).cast("int")).otherwise(0)
+    every = F.when(F.col(key) == unknown, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    members = dimension.withColumn(_PART, F.explode(every))
+    return facts.withColumn(_PART, own).join(members, [key, _PART], how).drop(_PART)
+
+
+def lookup(
+    facts: DataFrame, dimension: DataFrame, key: str, columns: list[str], spread_by: list[str] | None = None
+) -> DataFrame:
     """Facts with dimension columns attached; facts without a member keep nulls.
 
-    No broadcast is forced: Spark picks one from the dimension's real size, and
-    splits skewed keys otherwise.
+    No broadcast is forced: Spark picks one from the dimension's real size. Facts without a key are spread by
+    ``spread_by``, columns that tell facts apart, all by default; Spark splits other skewed keys.
     """
-    return facts.join(dimension.select(key, *columns), key, "left")
+    return _met(facts, dimension.select(key, *columns), key, "left", spread_by)
+
+
+def meet(facts: DataFrame, dimension: DataFrame, key: str, spread_by: list[str] | None = None) -> DataFrame:
+    """Facts with all columns of their member, facts without one left out; spread as by :func:`lookup`."""
+    return _met(facts, dimension, key, "inner", spread_by)
 
 
 def checked_key(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

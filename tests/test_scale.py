@@ -40,6 +40,28 @@ def ancestors(plan: str, leaf: str) -> list[str]:
     raise AssertionError(f"{leaf} is not scanned")
 
 
+def test_facts_without_a_key_are_spread(spark, unmeasured):
+    rows = [(str(i), star.UNKNOWN) for i in range(200)] + [(f"n{i}", None) for i in range(200)] + [("a", 1), ("b", 2)]
+    facts = spark.createDataFrame(rows, "sale_id string, k long")
+    known = spark.createDataFrame([(1, "one")], "k long, name string")
+    for members, unknown in ((known, 0), (star.with_unknown(known, "k"), 200)):
+        got = star.lookup(facts, members, "k", ["name"])
+        assert got.columns == ["k", "sale_id", "name"] and got.count() == 402
+        assert [tuple(r) for r in got.filter("name IS NOT NULL").collect()] == [(1, "a", "one")]
+        met = star.meet(facts, members, "k", ["sale_id"])
+        assert met.count() == unknown + 1 and {r.k for r in met.collect()} == ({1, star.UNKNOWN} if unknown else {1})
+    parts = got.withColumn("part", F.spark_partition_id()).select("k", "part").distinct().groupBy("k").count()
+    assert {r["k"]: r["count"] for r in parts.collect()} == {None: 4, star.UNKNOWN: 4, 1: 1, 2: 1}
+
+
+def test_lookup_takes_keys_of_other_kinds(spark):
+    facts = spark.createDataFrame([("x", dt.date(2026, 1, 1), {"a": 1}), (None, None, None)], "t string, d date, m map<string,int>")
+    named = spark.createDataFrame([("x", dt.date(2026, 1, 1), "y")], "t string, d date, name string")
+    for key in ("t", "d"):
+        got = star.lookup(facts, named, key, ["name"]).collect()
+        assert sorted(str(r.name) for r in got) == ["None", "y"]
+
+
 def test_lines_shuffle_twice(spark, tmp_path, unmeasured):
     day = dt.datetime(2026, 1, 5)
     tables = {
