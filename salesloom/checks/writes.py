@@ -188,7 +188,7 @@ def fct_members(spark, folder):
     facts = star.fct_sales(sold)
     products = star.with_unknown(star.dim_product(sold, ["sale_date", "sale_id"]), "product_key")
     places = star.with_unknown(star.dim_location(sold), "location_key")
-    met = facts.join(products, "product_key").join(places, "location_key")
+    met = star.meet(star.meet(facts, products, "product_key", ["sale_id"]), places, "location_key", ["sale_id"])
     return met.groupBy("sku").agg(F.count("*").alias("fact_count"), F.sum("quantity").alias("units"))
 
 
