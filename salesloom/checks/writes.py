@@ -142,27 +142,27 @@ def _deduped_sales(spark, folder) -> DataFrame:
     return I.keep_first(samples.sales(spark, folder), "sale_id", ["sale_date", "shipped_at", "total_amount_ars"])
 
 
-def _state(spark, folder) -> DataFrame:
-    """Partials of three loads by return of the order, one of them written twice, compacted between."""
+def _state(spark, folder, kpis) -> DataFrame:
+    """``kpis`` of the partials of three loads by return of the order, one of them written twice, compacted between."""
     name = _fresh("mart_state")
     facts = materialise(star.fct_sales(_deduped_sales(spark, folder)).withColumn("_load", F.pmod(F.crc32("sale_id"), F.lit(3))), "facts")
     for number in (0, 1, 1, 2):
         mart_state.add_run(spark, name, facts.filter(F.col("_load") == number), f"run{number}")
         if number == 1:
             mart_state.compact(spark, name, least=2)
-    result = materialise(spark.table(name), "state")
+    result = materialise(kpis(spark.table(name)), "kpis")
     _drop(spark, name)
     return result
 
 
 @query
 def mart_state_monthly(spark, folder):
-    return mart_state.kpi_monthly(_state(spark, folder))
+    return _state(spark, folder, mart_state.kpi_monthly)
 
 
 @query
 def mart_state_by_product(spark, folder):
-    return mart_state.kpis(_state(spark, folder), "product_key")
+    return _state(spark, folder, lambda state: mart_state.kpis(state, "product_key"))
 
 
 @query

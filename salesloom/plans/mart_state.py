@@ -20,25 +20,35 @@ from salesloom.scratch import materialise
 MONTH = "sale_month"
 RUN = "run"
 KEYS = ("product_key", "location_key", "status_key")
+SHARES = 16  # tasks that a month is dealt to, at most
+_SHARE = "_share"
 _SUMS = ("total", "sales", "units")
 
 
-def _merged(parts: DataFrame, *by: str | Column) -> DataFrame:
-    return parts.groupBy(*by).agg(*[F.sum(c).alias(c) for c in _SUMS])
+def _summed(rows: DataFrame, sales: Column) -> DataFrame:
+    """Sums per month and dimension keys, each month in up to ``SHARES`` tasks: the one shuffle serves the sums and
+    bounds a month's files."""
+    share = F.pmod(F.xxhash64(*KEYS), F.lit(SHARES))
+    dealt = rows.withColumn(_SHARE, share).repartition(MONTH, _SHARE)
+    sums = [F.sum("total").alias("total"), sales.alias("sales"), F.sum("units").alias("units")]
+    return dealt.groupBy(MONTH, _SHARE, *KEYS).agg(*sums).drop(_SHARE)
 
 
 def partials(facts: DataFrame) -> DataFrame:
-    """Sums of ``facts`` per month and dimension keys."""
+    """Sums of ``facts`` per month and dimension keys, dealt by month."""
     month = F.coalesce(F.date_format("sale_date", "yyyy-MM"), F.lit("none"))
-    return facts.groupBy(month.alias(MONTH), *KEYS).agg(
-        F.sum("total_amount_ars").alias("total"),
-        F.count("sale_id").alias("sales"),
-        F.sum("quantity").alias("units"),
+    rows = facts.select(
+        month.alias(MONTH),
+        *KEYS,
+        F.col("total_amount_ars").alias("total"),
+        F.col("sale_id").isNotNull().alias("sales"),
+        F.col("quantity").alias("units"),
     )
+    return _summed(rows, F.count_if("sales"))
 
 
 def _write(spark: SparkSession, table: str, parts: DataFrame, run: str) -> None:
-    """Replace the partials of ``run``; those of other runs stay."""
+    """Replace the partials of ``run``, dealt by month; those of other runs stay."""
     keys = ", ".join(f"{k} bigint" for k in KEYS)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({keys}, total double, sales bigint, units bigint, covers array<string>, "
@@ -48,7 +58,7 @@ def _write(spark: SparkSession, table: str, parts: DataFrame, run: str) -> None:
     # The given part of the partition is what an overwrite replaces.
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({RUN}='{run}', {MONTH}) SELECT {columns} FROM {{parts}}",
-        parts=parts.repartition(MONTH),
+        parts=parts,
     )
 
 
@@ -58,28 +68,31 @@ def add_run(spark: SparkSession, table: str, facts: DataFrame, run: str) -> None
 
 
 def live(state: DataFrame) -> DataFrame:
-    """Partials that no compacted run covers."""
+    """Partials that no compacted run covers.
+
+    What is covered are names of partitions, so they are broadcast and the partials stay where they are.
+    """
     covered = state.select(MONTH, F.explode("covers").alias(RUN)).distinct()
-    return state.join(covered, [MONTH, RUN], "left_anti")
+    return state.join(F.broadcast(covered), [MONTH, RUN], "left_anti")
 
 
 def compact(spark: SparkSession, table: str, least: int = 8) -> list[str]:
     """Merge the runs of each month that has ``least`` or more; returns these months."""
     state = live(spark.table(table))
-    runs = state.groupBy(MONTH).agg(F.collect_set(RUN).alias("covers"))  # a name for each run
+    runs = state.select(MONTH, RUN).distinct().groupBy(MONTH).agg(F.collect_set(RUN).alias("covers"))  # names only
     many = materialise(runs.filter(F.size("covers") >= least), "runs")
     months = [r[0] for r in many.select(MONTH).collect()]
     if not months:
         return []
-    chosen = state.drop("covers").join(many, MONTH)
-    merged = materialise(_merged(chosen, MONTH, *KEYS, "covers"), "merged")
+    chosen = state.drop("covers").join(F.broadcast(many.select(MONTH)), MONTH)
+    merged = materialise(_summed(chosen, F.sum("sales")), "merged")
     groups: dict[tuple[str, ...], list[str]] = {}
     for month, covers in many.collect():  # names only
         groups.setdefault(tuple(sorted(covers)), []).append(month)
     for covers in groups:
         name = "base_" + hashlib.md5(",".join(covers).encode()).hexdigest()
-        own = F.array_sort("covers") == F.array(*map(F.lit, covers))
-        _write(spark, table, merged.filter(own), name)
+        own = many.filter(F.array_sort("covers") == F.array(*map(F.lit, covers)))
+        _write(spark, table, merged.join(F.broadcast(own), MONTH), name)
     for covers, own in groups.items():
         for month in own:
             for run in covers:

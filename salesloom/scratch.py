@@ -39,7 +39,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     and gives later joins the real size of the data."""
     path = scratch_path(df.sparkSession, name)
     with _shuffles_freed(df.sparkSession):  # nobody reads them once the result is written
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

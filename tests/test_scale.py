@@ -81,3 +81,25 @@ def test_lines_shuffle_twice(spark, tmp_path, unmeasured):
     assert [r.sale_id for r in sold.collect()] == ["1-1-1"]  # other lines lack a part or a buyer
     shuffles = [x for x in ancestors(plan_of(sold), "l_orderkey") if x.startswith("Exchange")]
     assert len(shuffles) == 2
+
+
+def test_a_run_shuffles_once_into_few_files(spark, unmeasured):
+    rows = [(str(i), dt.date(2026, 1 + i % 3, 1), i, i % 5, 1, 1.0, 2) for i in range(500)]
+    schema = "sale_id string, sale_date date, product_key long, location_key long, status_key long, total_amount_ars double, quantity long"
+    parts = mart_state.partials(spark.createDataFrame(rows, schema))
+    assert plan_of(parts).count("Exchange") == 1 and "hashpartitioning(sale_month" in plan_of(parts)
+    name = "ms_dealt"
+    for run in ("r0", "r1"):
+        mart_state.add_run(spark, name, spark.createDataFrame(rows, schema), run)
+    files = spark.table(name).inputFiles()
+    assert len(files) <= 2 * 3 * 4  # runs, months, partitions of the session
+    state = plan_of(mart_state.live(spark.table(name)))
+    assert not [x for x in ancestors(state, "total") if x.startswith("Exchange")]
+    assert mart_state.compact(spark, name, least=2)
+    assert {r.run[:5] for r in spark.table(name).select("run").distinct().collect()} == {"base_"}
+    total = mart_state.kpis(spark.table(name)).first()
+    assert (total.total_sales, total.sale_count, total.units_sold) == (1000.0, 1000, 2000)
+
+
+def test_scratch_is_packed(spark):
+    assert all(".zstd." in f for f in materialise(spark.range(10), "packed").inputFiles())
