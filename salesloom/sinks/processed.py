@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BYTE_ORDER_MARK = "﻿"
 OUTPUT = "output"
 INPUT = "input"
+WRITERS = 4  # files that a task writes at the same time before it sorts the rest of its rows by input
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @dataclass(frozen=True)
@@ -30,6 +34,17 @@ def input_key(file_path: Column) -> Column:
     return F.concat(F.lit("p"), F.substring(F.sha2(file_path, 256), 1, 8))
 
 
+@contextmanager
+def _unsorted(spark: SparkSession) -> Iterator[None]:
+    """Tasks whose rows are of few inputs write them without a sort, which would spill whole rows."""
+    before = spark.conf.get(_WRITERS)
+    spark.conf.set(_WRITERS, str(WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_WRITERS, before)
+
+
 def save_processed(rows: DataFrame, output_dir: str) -> Saved:
     """Write rows under ``output_dir``/{csv,parquet}/output=<stem>_processed/input=<digest of the path>/.
 
@@ -41,18 +56,20 @@ def save_processed(rows: DataFrame, output_dir: str) -> Saved:
     first = named.columns[0]
     flat = named.withColumn("extras", F.to_json("extras")) if "extras" in named.columns else named
     csv_path, parquet_path = f"{output_dir}/csv", f"{output_dir}/parquet"
-    (
-        flat.withColumnRenamed(first, BYTE_ORDER_MARK + first)
-        .write.mode("overwrite")
-        .option("header", True)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(OUTPUT, INPUT)
-        .csv(csv_path)
-    )
+    with _unsorted(rows.sparkSession):
+        (
+            flat.withColumnRenamed(first, BYTE_ORDER_MARK + first)
+            .write.mode("overwrite")
+            .option("header", True)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(OUTPUT, INPUT)
+            .csv(csv_path)
+        )
     error = None
     try:
         writer = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(OUTPUT, INPUT).parquet(parquet_path)
+        with _unsorted(rows.sparkSession):
+            writer.partitionBy(OUTPUT, INPUT).parquet(parquet_path)
     except Exception as problem:
         error = str(problem)
     return Saved(csv_path, parquet_path, error is None, error)

@@ -103,3 +103,27 @@ def test_a_run_shuffles_once_into_few_files(spark, unmeasured):
 
 def test_scratch_is_packed(spark):
     assert all(".zstd." in f for f in materialise(spark.range(10), "packed").inputFiles())
+
+
+def test_output_of_few_inputs_is_not_sorted(spark, tmp_path, monkeypatch):
+    names, seen = ("csv", "parquet"), []
+    for name in names:
+        real = getattr(DataFrameWriter, name)
+
+        def writing(self, *args, _real=real, **options):
+            seen.append(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+            return _real(self, *args, **options)
+
+        monkeypatch.setattr(DataFrameWriter, name, writing)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    files = 3 * processed.WRITERS  # more than a task writes at the same time
+    rows = spark.range(60, numPartitions=2).select(
+        F.concat(F.lit("f"), F.col("id") % files, F.lit(".csv")).alias("file_name"),
+        F.concat(F.lit("in/f"), F.col("id") % files, F.lit(".csv")).alias("file_path"), "id",
+    )
+    saved = processed.save_processed(rows, str(tmp_path / "out"))
+    assert seen == [str(processed.WRITERS)] * 2 and saved.parquet_saved
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    back = spark.read.parquet(saved.parquet_path)
+    assert sorted(r.id for r in back.collect()) == list(range(60))
+    assert back.select("output", "input").distinct().count() == files
