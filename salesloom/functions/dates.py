@@ -211,7 +211,7 @@ def take_apart(cells: Column) -> Column:
         lambda z: F.struct(
             z["cell"]["v"].alias("v"),
             z["cell"]["kind"].alias("kind"),
-            date_parts(z["text"]).alias("parts"),
+            F.when(z["text"].isNotNull(), date_parts(z["text"])).alias("parts"),
         ),
     )
 
@@ -225,19 +225,21 @@ def stamps_of(
 ) -> Column:
     """Array of TIMESTAMP_NTZ for :func:`take_apart` cells.
 
-    ``year_of`` gives the year of a year-less date from its place in the array.
+    ``year_of`` gives the year of a year-less date from its place in the array.  Cells without
+    a value, most of a wide row's, are passed by.
     """
     this_year = F.lit(run_year) if run_year is not None else F.year(F.current_date())
 
     def stamp(f: Column, i: Column) -> Column:
         year = this_year if year_of is None else F.coalesce(year_of(i), this_year)
         return (
-            F.when(f["kind"] == "num", _from_number(f["v"], excel_serial))
-            .when(f["kind"] == "bool", F.lit(None).cast("timestamp_ntz"))
+            F.when(f.isNull() | (f["kind"] == "bool"), F.lit(None).cast("timestamp_ntz"))
+            .when(f["kind"] == "num", _from_number(f["v"], excel_serial))
             .otherwise(_assemble(f, year, this_year, dayfirst))
         )
 
-    return F.transform(F.transform(F.transform(apart, _fields), stamp), _in_range)
+    fields = F.transform(apart, lambda c: F.when(c["v"].isNotNull(), _fields(c)))
+    return F.transform(F.transform(fields, stamp), lambda s: F.when(s.isNotNull(), _in_range(s)))
 
 
 def _single(value: Column, kind: Column | None) -> Column:

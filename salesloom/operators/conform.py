@@ -49,8 +49,9 @@ def _number_texts(cells: Column, rules: Rules) -> Column:
     )
     return F.transform(
         unmarked,
-        lambda c: numbers.number_text(
-            c["v"], c["kind"], numbers.settle(c["text"], rules.fix_thousands)
+        lambda c: F.when(
+            c["v"].isNotNull(),
+            numbers.number_text(c["v"], c["kind"], numbers.settle(c["text"], rules.fix_thousands)),
         ),
     )
 
