@@ -399,15 +399,17 @@ def _not_alone(batches, maps, bits: int) -> Iterator[pa.RecordBatch]:
 
 
 def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFrame, percent: int, bits: int) -> DataFrame:
-    """(parent, gram, node, root, own, leads): nodes with the same ``gram`` share a difference from the parent group's middle,
-    and any two linked nodes of a parent that are not in one component yet have such a gram, for which one of them ``leads``.
+    """(parent, gram, node, root, own, further, leads): nodes with the same ``gram`` share a difference from the parent group's
+    middle, and any two linked nodes of a parent that are not in one component yet have such a gram, for which one of them
+    ``leads``. For the rarest of them, two nodes share no more than it and the ``further``, less rare differences of either.
 
     ``asked(group, node, distance, own, most)``: a node's slack and the largest of its group. Two such nodes are linked
     only if they share as many differences as make up for what their slacks lack. Let a be the one of larger slack: it
     needs that many with any other of no larger slack than its own (``index``), and the other that many with one
     of the largest slack (``probe``). Only differences that another component of the group has too count: a sketch
     leaves out most others before they are counted. A node that has fewer than it needs is out; else the two share one of
-    the first count - index + 1 of a and of the first count - probe + 1 of the other, in the order of rarity."""
+    the first count - index + 1 of a and of the first count - probe + 1 of the other, in the order of rarity. The rarest
+    that they share has as many behind it in both as they need besides; a holder without that for any leading node is out."""
     spark = asked.sparkSession
     cost = 100 + percent
     lack = {"probe": F.ceil(-(F.col("own") + F.col("most")) / (2 * cost)), "index": F.ceil(-F.col("own") / cost)}
@@ -431,21 +433,36 @@ def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFram
     own = Window.partitionBy("group", "node")
     found = listed.join(across(listed), "gram").withColumn("count", F.count("*").over(own)).where("count >= probe")
     found = found.withColumn("rank", F.row_number().over(own.orderBy("holders", "gram"))).where("rank <= count - probe + 1")
-    found = found.select("group", "node", "root", "own", "gram", F.expr("rank <= count - index + 1").alias("leads"))
+    found = found.select("group", "node", "root", "own", "gram", F.expr("count - rank").alias("further"), F.expr("rank <= count - index + 1").alias("leads"))
     found = materialise(found, "found")
     discard(listed)
-    lead = across(found, F.max(F.when(F.col("leads"), F.col("own"))).alias("lead")).where("lead is not null")
-    met = found.join(lead, "gram").where("leads or own <= lead")
-    return met.select(F.col("group").alias("parent"), "gram", "node", "root", "own", "leads")
+    def enough(other: str, behind: str) -> Column:
+        return F.col("own") + F.col(other) + 2 * cost * (1 + F.least("further", behind)) >= 0
+
+    for _ in range(2):  # the bounds are closer when fewer holders are left
+        first = [F.max(F.when(F.col("leads"), F.col(c))).alias(n) for c, n in (("own", "lead"), ("further", "behind"))]
+        ends = across(found, *first, F.max("further").alias("most")).where("lead is not null")
+        met = found.join(ends, "gram").withColumn("leads", F.col("leads") & enough("own", "most"))
+        met = met.where(F.col("leads") | (F.col("own") <= F.col("lead")) & enough("lead", "behind")).select(*found.columns)
+        before, found = found, materialise(met, "met")
+        discard(before)
+    return found.withColumnRenamed("group", "parent")
+
+
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """(parent, u, v, slacks): a leading node of ``met`` with any other of another component and no larger slack, where
+    the differences they may still share are as many as their slacks lack."""
+    lead = met.where("leads").select("gram", F.col("node").alias("u"), F.col("root").alias("_root"), F.col("own").alias("_own"), F.col("further").alias("_further"))
+    enough = F.col("own") + F.col("_own") + 2 * (100 + percent) * (1 + F.least("further", "_further")) >= 0
+    pairs = met.join(lead, "gram").where(F.expr("root != _root and own <= _own") & enough)
+    return pairs.select("parent", "u", F.col("node").alias("v"), (F.col("own") + F.col("_own")).alias("slacks"))
 
 
 def _pair_links(met: DataFrame, unlike: DataFrame, percent: int) -> DataFrame:
     """(u, v): the linked pairs of ``met``, of a leading node with any other of another component and no larger slack.
 
     The differences that two nodes share are counted fragment by fragment and summed."""
-    lead = met.where("leads").select("gram", F.col("node").alias("u"), F.col("root").alias("_root"), F.col("own").alias("_own"))
-    pairs = met.join(lead, "gram").where("root != _root and own <= _own")
-    pairs = pairs.select("parent", "u", F.col("node").alias("v"), (F.col("own") + F.col("_own")).alias("slacks")).distinct()
+    pairs = _candidates(met, percent).distinct()
     one, other = (unlike.select(F.col("group").alias("parent"), "fragment", F.col("node").alias(n), F.col("grams").alias(f"_{n}")) for n in "uv")
     shared = pairs.join(one, ["parent", "u"]).join(other, ["parent", "fragment", "v"])
     shared = shared.groupBy("parent", "u", "v", "slacks").agg(F.sum(F.size(F.array_intersect("_u", "_v"))).alias("shared"))
@@ -498,7 +515,7 @@ def linked_roots(nodes: DataFrame, groups: DataFrame, segments: DataFrame, perce
         roots = _further(roots, linked)
         # Who is too far from the middle for that can be linked only by shared differences from it.
         still = _open(groups.select("group", "node"), roots).where("members > 3").select("group").distinct()
-        met = materialise(_meetings_by_difference(slack.join(still, "group"), unlike, roots, percent, bits), "met")
+        met = _meetings_by_difference(slack.join(still, "group"), unlike, roots, percent, bits)
         leads = materialise(met.groupBy("gram").agg(F.count_if("leads").alias("count")), "leads")
         more = materialise(_pair_links(met.join(leads.where(F.col("count") <= _LEADS), "gram"), unlike, percent).distinct(), "linked")
         roots = _further(roots, more)

@@ -89,6 +89,23 @@ def test_a_large_group_at_the_edge(spark, monkeypatch, leads):
     assert got == grouped(docs, 5, 80) and 2 < len({c for _, _, c in got}) < 150
 
 
+def test_few_candidates_in_a_large_group(spark, monkeypatch):
+    """Pairs whose rarest shared difference leaves too few others for a link are not compared."""
+    seen, candidates = [], ngram_join._candidates
+    monkeypatch.setattr(ngram_join, "_candidates", lambda *a: seen.append(candidates(*a).count()) or candidates(*a))
+    random.seed(11)
+    base, docs = [f"w{i}" for i in range(120)], []
+    for i in range(200):
+        own = list(base)
+        for _ in range(random.choice([1, 3, 4, 5])):
+            own[random.randrange(len(own))] = random.choice(["x", "y", f"z{i}"])
+        docs.append((i, " ".join(own)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(5), 5, 80, bits=16)
+    got = sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == grouped(docs, 5, 80)
+    assert 0 < sum(seen) < 600, seen
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], DOCS), bits=16).count() == 0
 
