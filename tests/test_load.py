@@ -56,6 +56,20 @@ def test_incremental_load(spark):
     assert by_hash == 4
 
 
+def test_whole_rows_pass_one_window(spark, monkeypatch):
+    """The windows that count a file's own rows see keys and places only."""
+    tables = Tables("w_sales", "w_sales_load", "w_loads")
+    files = {"b": [FLAT, sale(1, status="b1"), sale(3), sale(None)], "a": [FLAT, sale(1), sale(1, status="a2"), sale(None)]}
+    rows, seen, firsts = batch(spark, files, "s1", 16).rows, [], I.first_of_files
+    monkeypatch.setattr(I, "first_of_files", lambda df, *a: seen.append(set(df.columns)) or firsts(df, *a))
+    load.begin(rows, tables=tables)
+    assert seen == [{"sale_id", "load_id", "file_path", "sheet", "source_row_number"}]
+    staged = sorted((r.sale_id or "", r.file_name, r.sale_status) for r in spark.table("w_sales_load").collect())
+    assert staged == [("", "a", "Entregado"), ("", "b", "Entregado"), ("1", "a", "Entregado"), ("3", "b", "Entregado")]
+    counts = {r.file_name: (r.rows_in_file, r.rows_after_dedup, r.rows_inserted) for r in spark.table(tables.pending).collect()}
+    assert counts == {"a": (3, 2, 2), "b": (3, 3, 2)}
+
+
 @pytest.mark.parametrize("stop", ["staged", "begun", "half appended", "appended", "half settled"])
 def test_a_load_that_died_is_finished(spark, stop):
     name = "d_" + stop.replace(" ", "_")
