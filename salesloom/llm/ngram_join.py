@@ -399,17 +399,19 @@ def _not_alone(batches, maps, bits: int) -> Iterator[pa.RecordBatch]:
 
 
 def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFrame, percent: int, bits: int) -> DataFrame:
-    """(parent, gram, node, root, own, further, leads): nodes with the same ``gram`` share a difference from the parent group's
+    """(parent, gram, node, root, own, rest, leads): nodes with the same ``gram`` share a difference from the parent group's
     middle, and any two linked nodes of a parent that are not in one component yet have such a gram, for which one of them
-    ``leads``. For the rarest of them, two nodes share no more than it and the ``further``, less rare differences of either.
+    ``leads``. For the rarest of them, two nodes share no more differences than the ``rest`` of either: those of the gram
+    and of all less rare ones.
 
     ``asked(group, node, distance, own, most)``: a node's slack and the largest of its group. Two such nodes are linked
     only if they share as many differences as make up for what their slacks lack. Let a be the one of larger slack: it
     needs that many with any other of no larger slack than its own (``index``), and the other that many with one
     of the largest slack (``probe``). Only differences that another component of the group has too count: a sketch
-    leaves out most others before they are counted. A node that has fewer than it needs is out; else the two share one of
-    the first count - index + 1 of a and of the first count - probe + 1 of the other, in the order of rarity. The rarest
-    that they share has as many behind it in both as they need besides; a holder without that for any leading node is out."""
+    leaves out most others before they are counted. Differences that the same nodes hold are one ``gram`` of their number
+    as weight: an edit that a node shares makes several. A node that has fewer than it needs is out; else the rarest that
+    the two share has, in the order of rarity, a rest of index or more in a and of probe or more in the other, and in both
+    as much as they need; a holder without that for any leading node is out."""
     spark = asked.sparkSession
     cost = 100 + percent
     lack = {"probe": F.ceil(-(F.col("own") + F.col("most")) / (2 * cost)), "index": F.ceil(-F.col("own") / cost)}
@@ -430,18 +432,20 @@ def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFram
         ends = rows.groupBy("gram").agg(F.count("*").alias("holders"), F.min("root").alias("a"), F.max("root").alias("z"), *more)
         return ends.where("a < z").drop("a", "z")
 
-    own = Window.partitionBy("group", "node")
-    found = listed.join(across(listed), "gram").withColumn("count", F.count("*").over(own)).where("count >= probe")
-    found = found.withColumn("rank", F.row_number().over(own.orderBy("holders", "gram"))).where("rank <= count - probe + 1")
-    found = found.select("group", "node", "root", "own", "gram", F.expr("count - rank").alias("further"), F.expr("rank <= count - index + 1").alias("leads"))
+    who = across(listed, F.bit_xor(F.xxhash64("group", "node")).alias("x"), F.bit_xor(F.xxhash64("node", "group")).alias("y"))
+    who = who.groupBy("holders", "x", "y").agg(F.min("gram").alias("gram"), F.count("*").alias("weight")).drop("x", "y")
+    behind = Window.partitionBy("group", "node").orderBy(F.desc("holders"), F.desc("gram")).rowsBetween(Window.unboundedPreceding, 0)
+    found = listed.join(materialise(who, "held_alike"), "gram").withColumn("rest", F.sum("weight").over(behind)).where("rest >= probe")
+    found = found.select("group", "node", "root", "own", "gram", "rest", F.expr("rest >= index").alias("leads"))
     found = materialise(found, "found")
     discard(listed)
-    def enough(other: str, behind: str) -> Column:
-        return F.col("own") + F.col(other) + 2 * cost * (1 + F.least("further", behind)) >= 0
+
+    def enough(other: str, rest: str) -> Column:
+        return F.col("own") + F.col(other) + 2 * cost * F.least("rest", rest) >= 0
 
     for _ in range(2):  # the bounds are closer when fewer holders are left
-        first = [F.max(F.when(F.col("leads"), F.col(c))).alias(n) for c, n in (("own", "lead"), ("further", "behind"))]
-        ends = across(found, *first, F.max("further").alias("most")).where("lead is not null")
+        first = [F.max(F.when(F.col("leads"), F.col(c))).alias(n) for c, n in (("own", "lead"), ("rest", "behind"))]
+        ends = across(found, *first, F.max("rest").alias("most")).where("lead is not null")
         met = found.join(ends, "gram").withColumn("leads", F.col("leads") & enough("own", "most"))
         met = met.where(F.col("leads") | (F.col("own") <= F.col("lead")) & enough("lead", "behind")).select(*found.columns)
         before, found = found, materialise(met, "met")
@@ -452,8 +456,8 @@ def _meetings_by_difference(asked: DataFrame, unlike: DataFrame, roots: DataFram
 def _candidates(met: DataFrame, percent: int) -> DataFrame:
     """(parent, u, v, slacks): a leading node of ``met`` with any other of another component and no larger slack, where
     the differences they may still share are as many as their slacks lack."""
-    lead = met.where("leads").select("gram", F.col("node").alias("u"), F.col("root").alias("_root"), F.col("own").alias("_own"), F.col("further").alias("_further"))
-    enough = F.col("own") + F.col("_own") + 2 * (100 + percent) * (1 + F.least("further", "_further")) >= 0
+    lead = met.where("leads").select("gram", F.col("node").alias("u"), F.col("root").alias("_root"), F.col("own").alias("_own"), F.col("rest").alias("_rest"))
+    enough = F.col("own") + F.col("_own") + 2 * (100 + percent) * F.least("rest", "_rest") >= 0
     pairs = met.join(lead, "gram").where(F.expr("root != _root and own <= _own") & enough)
     return pairs.select("parent", "u", F.col("node").alias("v"), (F.col("own") + F.col("_own")).alias("slacks"))
 

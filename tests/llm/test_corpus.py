@@ -106,6 +106,29 @@ def test_few_candidates_in_a_large_group(spark, monkeypatch):
     assert 0 < sum(seen) < 600, seen
 
 
+def test_differences_held_alike_are_met_once(spark, monkeypatch):
+    """An edit that some copies share makes several shared differences; a copy is held once for all of those."""
+    rows, materialise = [], ngram_join.materialise
+
+    def counted(df, name):
+        made = materialise(df, name)
+        rows.extend([made.count()] * (name == "found"))
+        return made
+
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    random.seed(5)
+    base, docs = [f"w{i}" for i in range(120)], []
+    for i in range(60):
+        own = list(base)
+        for k in random.sample(range(0, 120, 12), 3):
+            own[k] = f"x{k}"
+        docs.append((i, " ".join(own)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(docs, DOCS).repartition(5), 5, 80, bits=16)
+    got = sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str)
+    assert got == grouped(docs, 5, 80)
+    assert 0 < sum(rows) <= 60 * 6, rows
+
+
 def test_near_duplicates_of_nothing(spark):
     assert ngram_join.near_duplicates(spark.createDataFrame([], DOCS), bits=16).count() == 0
 
