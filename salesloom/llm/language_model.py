@@ -14,7 +14,7 @@ Scale: the state is spread by the hash of (word before, word), so the pairs of a
 Pairs are counted per task before they are shuffled. After a sweep each shard sends one sum for each of its
 contexts and words to their nodes, and the nodes return the totals; five numbers pass the driver. A text is scored
 where it is read: each task's distinct pairs, contexts and words are looked up, without their rows, and the
-answers meet the rows again by flush (about a million tokens). Shards and nodes are as many as the bytes of the
+answers, as counts without their empty high bytes, meet the rows again by flush (about a million tokens). Shards and nodes are as many as the bytes of the
 training texts ask for. Words and pairs are told apart by 64 bits of hash.
 
 Defined cases: A-Z are lower-cased; null and empty texts have the end token only; without training rows every
@@ -279,7 +279,7 @@ def _sweep(state: pa.Table, nodes: pa.Table, t: Totals, discounts, strength: flo
 
 
 class Model:
-    """Sampled states: the shards' table, the nodes' table and the totals of each kept sample."""
+    """Sampled states: the shards' table, the nodes' own tables and the totals of each kept sample."""
 
     def __init__(self, state: DataFrame | None, nodes: list[DataFrame], totals: list[Totals], discounts, strength: float, shards: int, spread: int):
         self.state, self.nodes, self.totals, self.discounts, self.strength = state, nodes, totals, discounts, strength
@@ -317,19 +317,19 @@ def fit(texts: DataFrame, burn_in: int = 2, samples: int = 3, strength: float =
         moved = state.groupBy("shard").cogroup(told).applyInArrow(sweeping(totals, seed * 100 + sweep, keep), _STATE)
         moved = materialise(moved, "state")
         discard(state)
-        if sweep <= burn_in:
-            discard(nodes)
+        discard(nodes)
         state = moved
         nodes, totals = exchange(state, totals, discounts[1], sweep)
-        if keep:
-            kept.append((nodes, totals))
+        if keep:  # without what was returned to shards
+            kept.append((materialise(nodes.where("shard < 0"), "kept"), totals))
+    discard(nodes)
     return Model(state, [n for n, _ in kept], [t for _, t in kept], discounts, strength, shards, spread)
 
 
 _ASKED = pa.schema([("kind", pa.int32()), ("shard", pa.int32()), ("flush", pa.int64()), *[(n, pa.binary()) for n in ("keys", "counts", "rows", "before", "words", "names")]])
 _ASKED_SQL = "kind int, shard int, flush long, keys binary, counts binary, rows binary, before binary, words binary, names binary"
-_TOLD = pa.schema([("flush", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("values", pa.binary())])
-_TOLD_SQL = "flush long, kind int, shard int, values binary"
+_TOLD = pa.schema([("flush", pa.int64()), ("kind", pa.int32()), ("shard", pa.int32()), ("values", pa.list_(pa.binary()))])
+_TOLD_SQL = "flush long, kind int, shard int, values array<binary>"
 
 
 def _ask(batches, shards: int, spread: int) -> Iterator[pa.RecordBatch]:
@@ -373,36 +373,34 @@ def _ask(batches, shards: int, spread: int) -> Iterator[pa.RecordBatch]:
         yield from flush(held, names)
 
 
-def _answer(asked: pa.Table, have: pa.Table, model: tuple) -> pa.Table:
-    """What the model knows of the keys asked for: of a pair its discounted customers, of a context its customers and
-    the weight of a new table in each sample, of a word its customers and its probability in the parent."""
-    totals, (low, top_discount), strength = model
+def _width(kind: int, samples: int) -> int:
+    """Numbers that answer a key of that kind."""
+    return {_PAIR: 2, _CONTEXT: 1 + samples, _WORD: 1 + 2 * samples}[kind]
+
+
+def _answer(asked: pa.Table, have: pa.Table, samples: int) -> pa.Table:
+    """The counts that the model has of the keys asked for: of a pair its customers and summed tables, of a context its
+    customers and its tables in each sample, of a word also its tables in the parent. Of an unknown key all are 0."""
     if not asked.num_rows:
         return pa.Table.from_batches([], _TOLD)
     parts, kind = list(rows_of(have.to_batches())), asked.column("kind")[0].as_py()
-    keys, values = np.empty(0, U64), []
-    if kind == _PAIR:
-        if parts:
-            pairs = (("contexts", "before"), ("vocabulary", "words"))
-            keys = pair_keys(*[unpacked_gaps(parts[0][n], np.uint64)[unpacked(parts[0][c], np.uint32)] for n, c in pairs])
-            values = [unpacked(parts[0]["customers"], np.int64) - low * unpacked(parts[0]["summed"], np.int64) / len(totals)]
-        absent = [0.0]
-    else:
+    keys, values = np.empty(0, U64), [np.empty(0, np.int64)] * _width(kind, samples)
+    if parts and kind == _PAIR:
+        pairs = (("contexts", "before"), ("vocabulary", "words"))
+        keys = pair_keys(*[unpacked_gaps(parts[0][n], np.uint64)[unpacked(parts[0][c], np.uint32)] for n, c in pairs])
+        values = [unpacked(parts[0][c], np.int64) for c in ("customers", "summed")]
+    elif parts:
         parts.sort(key=lambda p: p["sample"])
-        if parts:
-            keys, customers = unpacked_gaps(parts[0]["keys"], np.uint64), unpacked(parts[0]["customers"], np.int64)
-            values = [customers]
-        for p in parts:
-            tables, top = unpacked(p["tables"], np.int64), unpacked(p["top"], np.int64)
-            values.append((strength + low * tables) / (strength + customers) if kind == _CONTEXT else base_probability(tables, top, totals[p["sample"]], top_discount, strength))
-        absent = [0.0, *[1.0 if kind == _CONTEXT else base_probability(0, 0, t, top_discount, strength) for t in totals]]
-    values = [np.append(v, a) for v, a in zip(values or [np.empty(0)] * len(absent), absent, strict=True)]
+        keys = unpacked_gaps(parts[0]["keys"], np.uint64)
+        each = ("tables",) if kind == _CONTEXT else ("tables", "top")
+        values = [unpacked(parts[0]["customers"], np.int64), *[unpacked(p[c], np.int64) for p in parts for c in each]]
+    values = [np.append(v, 0) for v in values]
     made = []
     for row in rows_of(asked.to_batches()):
         own = unpacked_gaps(row["keys"], np.uint64)
         at = np.searchsorted(keys, own)
         at[at < len(keys)] = np.where(keys[at[at < len(keys)]] == own[at < len(keys)], at[at < len(keys)], len(keys))
-        made.append(out(_TOLD, flush=[row["flush"]], kind=[kind], shard=[row["shard"]], values=[np.stack([v[at] for v in values]).tobytes()]))
+        made.append(out(_TOLD, flush=[row["flush"]], kind=[kind], shard=[row["shard"]], values=[[packed(v[at]) for v in values]]))
     return pa.Table.from_batches(made, _TOLD)
 
 
@@ -410,14 +408,20 @@ _SCORES = pa.schema([("_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known",
 
 
 def _named(asked: pa.Table, told: pa.Table, model: tuple) -> pa.Table:
-    """A flush's documents with their sums."""
-    totals, _, strength = model
+    """A flush's documents with their sums: a pair's discounted customers, the weight of a new table in its context and the
+    word's probability in the parent, by the counts told."""
+    totals, (low, top_discount), strength = model
     home = next(rows_of(asked.to_batches()))
     names = unpacked(home["names"], np.int64).reshape(-1, 3)
     counts, rows, context, word = (unpacked(home[c], np.uint32) for c in ("counts", "rows", "before", "words"))
     parts = sorted(rows_of(told.to_batches()), key=lambda p: p["shard"])
-    width = {_PAIR: 1, _CONTEXT: 1 + len(totals), _WORD: 1 + len(totals)}
-    (held,), (room, *fresh), (seen, *ground) = (np.concatenate([np.frombuffer(p["values"]).reshape(n, -1) for p in parts if p["kind"] == k], axis=1) for k, n in width.items())
+    (customers, summed), (room, *tables), (seen, *parent) = (
+        [np.concatenate([unpacked(p["values"][i], np.int64) for p in parts if p["kind"] == k]) for i in range(_width(k, len(totals)))]
+        for k in (_PAIR, _CONTEXT, _WORD)
+    )
+    held = customers - low * summed / max(len(totals), 1)
+    fresh = [(strength + low * x) / (strength + room) for x in tables]
+    ground = [base_probability(x, top, t, top_discount, strength) for x, top, t in zip(parent[::2], parent[1::2], totals, strict=True)]
     n, v = (totals[0].customers, totals[0].words) if totals else (0, 0)
     base = np.log10((seen + 1) / (n + v + 1))[word]
     chance = held / (strength + room[context])
@@ -428,18 +432,22 @@ def _named(asked: pa.Table, told: pa.Table, model: tuple) -> pa.Table:
 
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id") -> DataFrame:
-    """A row per document: id, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigram) and ``score``."""
+    """A row per document: id, ``n_tokens``, ``n_known``, ``base_score`` (add-one unigram) and ``score``.
+
+    What the model answers is written down here: the result does not read the model's tables again."""
     shards, spread, frozen = model.shards, model.spread, (model.totals, model.discounts, model.strength)
+    samples = len(model.totals)
     asked = docs.select(F.col(id).cast("long").alias("_id"), "text").mapInArrow(lambda b: _ask(b, shards, spread), _ASKED_SQL)
     asked = materialise(asked, "asked")
     empty = docs.sparkSession.createDataFrame([], "kind int, shard int, sample int, " + _SENT.split(", ", 3)[3] + ", contexts binary, vocabulary binary, before binary, words binary, summed binary")
     known = [empty]
     if model.state is not None:
         known.append(model.state.select(F.lit(_PAIR).alias("kind"), "shard", "contexts", "vocabulary", "before", "words", "customers", "summed"))
-        known += [n.where("shard < 0").select("kind", F.col("node").alias("shard"), F.lit(s).alias("sample"), "keys", "customers", "tables", "top") for s, n in enumerate(model.nodes)]
+        known += [n.select("kind", F.col("node").alias("shard"), F.lit(s).alias("sample"), "keys", "customers", "tables", "top") for s, n in enumerate(model.nodes)]
     known = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), known)
     keys = asked.where(F.col("kind") != _HOME).select("kind", "shard", "flush", "keys")
-    told = keys.groupBy("kind", "shard").cogroup(known.groupBy("kind", "shard")).applyInArrow(lambda a, b: _answer(a, b, frozen), _TOLD_SQL)
+    told = keys.groupBy("kind", "shard").cogroup(known.groupBy("kind", "shard")).applyInArrow(lambda a, b: _answer(a, b, samples), _TOLD_SQL)
+    told = materialise(told, "told")
     home = asked.where(F.col("kind") == _HOME).groupBy("flush")
     named = home.cogroup(told.groupBy("flush")).applyInArrow(lambda a, b: _named(a, b, frozen), "_id long, n_tokens long, n_known long, base_score double, score double")
     return named.withColumnRenamed("_id", id)
@@ -453,4 +461,6 @@ def score_documents(docs: DataFrame, id: str = "doc_id", **settings) -> DataFram
     """All documents scored by the model of those that are not held out."""
     model = fit(docs.where(training_row(id)).select("text"), **settings)
     scored = score(docs, model, id)
+    for table in [model.state, *model.nodes] if model.state is not None else []:
+        discard(table)
     return scored.select(id, (~training_row(id)).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")

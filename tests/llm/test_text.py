@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -169,6 +170,17 @@ def test_language_model_contexts_are_words(spark):
     assert got[held[0]] > got[held[1]] + 1 and got[held[2]] > got[held[1]] + 1 and got[held[3]] < 0
 
 
+def test_language_model_keeps_only_what_its_result_reads(spark):
+    def left():
+        root = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+        return {p for p in root.glob("salesloom/*/*") if any(p.glob("*.parquet"))}
+
+    before = left()
+    scored = language_model.score_documents(spark.createDataFrame([(i, f"a b {i % 3}") for i in range(40)], DOCS))
+    assert sorted(p.name for p in left() - before) == ["asked", "told"]
+    assert scored.count() == 40
+
+
 def test_language_model_asks_for_a_hot_word_once(spark):
     sizes = []
     for n in (100, 100_000):
