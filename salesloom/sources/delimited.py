@@ -77,16 +77,26 @@ def _before(column: str):
     )
 
 
+def _with_split(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """``lines`` with the columns of their split, of which every line has one.
+
+    An outer join, so that only the splits can be broadcast: by the size of their scratch files, which compress
+    a hundredfold, the lines may seem small enough.  What is made of the splits' numbers must not be null without
+    them, or a filter on it turns the join into an inner one.
+    """
+    return lines.na.drop(subset=SPLIT).join(splits, SPLIT, "left")
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """Records that are one line each: (file_path, row_idx, record)."""
     splits = (
         lines.groupBy(*SPLIT)
         .agg(F.min("line_id").alias("first_id"), F.count("*").alias("lines"))
-        .withColumn("before", _before("lines"))
+        .select(*SPLIT, (_before("lines") - F.col("first_id")).alias("shift"))
     )
-    return lines.join(splits, SPLIT).select(
+    return _with_split(lines, splits).select(
         "file_path",
-        (F.col("before") + F.col("line_id") - F.col("first_id")).alias("row_idx"),
+        (F.col("line_id") + F.coalesce("shift", F.lit(0))).alias("row_idx"),
         F.col("line").alias("record"),
     )
 
@@ -150,11 +160,11 @@ def number_records(lines: DataFrame, sep: str = ",") -> DataFrame:
         .withColumn("before", _before("starts"))
         .select(*SPLIT, "state", "before")
     )
-    placed = marked.join(splits, SPLIT).select(
+    placed = _with_split(marked, splits).select(
         *SPLIT,
         "line_id",
         "line",
-        (F.col("before") + by_state("starts") - 1).alias("row_idx"),
+        (F.coalesce("before", F.lit(0)) + by_state("starts") - 1).alias("row_idx"),
         (by_state("before") == 0).alias("opens"),
         (by_state("after") == 0).alias("closes"),
     )

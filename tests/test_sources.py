@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from salesloom.config import Config
 from salesloom.operators.conform import Rules
 from salesloom.plans.ingest import ingest
+from salesloom.scratch import materialise
 from salesloom.sinks.processed import save_processed
 from salesloom.sources.delimited import (
     number_lines,
@@ -103,6 +104,18 @@ def test_hash_algorithms(spark, folder):
         file_hashes(files, "nope")
 
 
+def test_lines_are_not_broadcast_to_their_splits(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("".join(f"{i}\n" for i in range(2000)))
+    (tmp_path / "b.csv").write_text('0,"x\ny"\n1,z\n')
+    lines = materialise(text_lines(spark, str(tmp_path)), "lines")
+    for number in (number_lines, number_records):
+        records = number(lines).filter("row_idx < 1999")
+        plan = records._jdf.queryExecution().executedPlan().toString()
+        joins = [x for x in plan.splitlines() if "Join " in x]
+        assert joins and all("LeftOuter" in x for x in joins), plan
+        assert records.count() == 1999 + (3 if number is number_lines else 2)
+
+
 def test_split_fields(spark):
     cases = {
         'a,b,c': ["a", "b", "c"],
