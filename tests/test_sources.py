@@ -104,6 +104,31 @@ def test_hash_algorithms(spark, folder):
         file_hashes(files, "nope")
 
 
+def test_files_longer_than_a_value_are_hashed_by_lines(spark, tmp_path):
+    random.seed(5)
+    mark, noise = b"\xef\xbb\xbf", random.randbytes(30_000)
+    contents = {
+        "a.parquet": noise, "b.parquet": noise + b"\n", "c.csv": mark + b"x\r\ny\n" * 900, "d.csv": mark + b"z" * 2000,
+        "e.gz": b"not packed\n" * 200, "no point": noise, "f {1}[2]*.csv": b"\n" * 3000, "short.csv": b"1\n2", "g": mark,
+    }
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    limits = {"spark.sql.sources.binaryFile.maxLength": "1000", "spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in limits}
+    for k, v in limits.items():
+        spark.conf.set(k, v)
+    try:
+        files = binary_files(spark, str(tmp_path))
+        for name in ("sha256", "SHA-1", "blake2b"):
+            for whole in (0, 1000):
+                got = {r.file_path.rpartition("/")[2]: r.file_hash for r in file_hashes(files, name, whole).collect()}
+                plain = name.lower().replace("-", "")
+                assert got == {n: hashlib.new(plain, c).hexdigest() for n, c in contents.items()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_lines_are_not_broadcast_to_their_splits(spark, tmp_path):
     (tmp_path / "a.csv").write_text("".join(f"{i}\n" for i in range(2000)))
     (tmp_path / "b.csv").write_text('0,"x\ny"\n1,z\n')
