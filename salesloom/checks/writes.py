@@ -172,9 +172,13 @@ def dim_product_history(spark, folder):
 
 @query
 def fct_history(spark, folder):
-    """Every sale with what its product was called on the day; history is known from 1996 on."""
-    sold = samples.sales(spark, folder)
-    versions = history.product_history(sold.filter(F.col("sale_date") >= dt.date(1996, 1, 1)), ["sale_date", "sale_id"])
+    """Every sale with what its product was called on the day; history is known from 1996 on.
+
+    Sales and versions are written down, so that shuffles behind them are freed before the next ones."""
+    read = ["sale_id", "sale_date", "quantity", *star.PRODUCT, *star.PRODUCT_DETAILS, *star.LOCATION, *star.STATUS]
+    sold = materialise(samples.sales(spark, folder).select(*read), "sold")
+    known = sold.filter(F.col("sale_date") >= dt.date(1996, 1, 1))
+    versions = materialise(history.product_history(known, ["sale_date", "sale_id"]), "versions")
     facts = star.fct_sales(sold).select("sale_id", "sale_date", "product_key", "quantity")
     return history.as_of(facts, versions, "product_key", ["variant", "valid_from"])
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from salesloom import samples
+from salesloom.checks import writes
 from salesloom.plans import mart_state, star
 from salesloom.scratch import materialise
 from salesloom.sinks import processed
@@ -62,6 +63,30 @@ def test_lookup_takes_keys_of_other_kinds(spark):
         assert sorted(str(r.name) for r in got) == ["None", "y"]
 
 
+def test_history_lists_versions_by_year_and_joins_sales_once(spark, tmp_path, unmeasured):
+    day = dt.datetime(1996, 1, 5)
+    late = dt.datetime(2005, 6, 1)
+    tables = {
+        "region": ([(1, "R")], "r_regionkey int, r_name string"),
+        "nation": ([(1, "N", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": ([(1, 1, "S")], "c_custkey long, c_nationkey int, c_mktsegment string"),
+        "part": ([(1, "P", "B")], "p_partkey long, p_name string, p_brand string"),
+        "orders": ([(1, 1, "O", day, "5-LOW"), (2, 1, "O", late, "5-LOW"), (3, 1, "O", late, "1-URGENT")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": ([(1, 1, 1, 2.0, 9.5, "F", day), (2, 1, 1, 2.0, 9.5, "F", day), (3, 1, 1, 2.0, 9.5, "F", day)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+                     "l_linestatus string, l_shipdate timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    met = writes.fct_history(spark, str(tmp_path))
+    assert sorted((r.sale_id, r.variant, r.valid_from.year) for r in met.collect()) == [
+        ("1-1-1", "5-LOW", 1996), ("2-1-1", "1-URGENT", 2005), ("3-1-1", "1-URGENT", 2005)]
+    assert "l_orderkey" not in plan_of(met)  # the sales were written down
+    made = [r for r in plan_of(met).splitlines() if "Generate explode" in r]
+    assert len(made) == 1 and "sequence(year(" in made[0]
+
+
 def test_lines_shuffle_twice(spark, tmp_path, unmeasured):
     day = dt.datetime(2026, 1, 5)
     tables = {
