@@ -34,15 +34,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/salesloom/{uuid.uuid4().hex}/{name}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage, survives executor loss,
     and gives later joins the real size of the data."""
-    path = scratch_path(df.sparkSession, name)
+    return _written(df, scratch_path(df.sparkSession, name), options or {})
+
+
+def _written(df: DataFrame, path: str, options: dict[str, str]) -> DataFrame:
     with _shuffles_freed(df.sparkSession):  # nobody reads them once the result is written
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(**{"compression": "zstd"} | options).mode("append").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def extended(table: DataFrame, df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
+    """A materialised ``table`` with the rows of ``df``, which has its schema, written behind its own."""
+    return _written(df, table.inputFiles()[0].rsplit("/", 1)[0], options or {})
+
+
 def discard(df: DataFrame) -> None:
     """Delete the scratch files behind a materialised ``df`` that no later job reads."""
     spark = df.sparkSession

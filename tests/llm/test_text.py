@@ -190,6 +190,31 @@ def test_language_model_asks_for_a_hot_word_once(spark):
     assert sizes[0] == sizes[1] and sizes[0][2] == 0
 
 
+def test_language_model_sends_a_flush_as_one_batch(spark):
+    docs = [(i, " ".join(f"w{(i * 7919 + k) % 5000}" for k in range(400_000))) for i in range(6)]  # 2.3 MB each
+    df = spark.createDataFrame(docs, "_id long, text string").coalesce(1)
+    for sending, keys, least in ((lambda b: language_model._ask(b, 64, 8), 64 + 8, 3), (lambda b: language_model._count(b, 64), 64, 3)):
+
+        def batches(b, sending=sending):
+            sizes = [x.num_rows for x in sending(b)]
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(sizes)]), "rows": pa.array([sum(sizes)])})
+
+        got = df.mapInArrow(batches, "n long, rows long").first()
+        assert got.n == least and got.rows <= got.n * keys
+    text = spark.createDataFrame(docs, DOCS)
+    scores = [{r.doc_id: r.score for r in language_model.score_documents(text.repartition(n)).collect()} for n in (1, 4)]
+    assert len(scores[0]) == 6 and all(math.isclose(scores[0][i], scores[1][i], rel_tol=1e-9) for i in scores[0])
+
+
+@pytest.mark.parametrize("n", [0, 1, 500])
+def test_pairs_are_folded_by_context(n):
+    rng = np.random.default_rng(n)
+    pairs = np.unique(rng.integers(0, 60, (n, 2)).astype(np.uint32), axis=0)
+    row = language_model._folded(pairs[:, 0], pairs[:, 1])
+    assert (np.stack(language_model._unfolded(row), axis=1) == pairs).all()
+    assert n < 500 or len(row["before"]) < 1.1 * len(pairs)
+
+
 @pytest.mark.parametrize("values", [[], [0, 0], [0, 255, 3], [1, 1 << 40, 0], [-1, 5], [2**63 - 1]])
 def test_packed_integers(values):
     values = np.array(values, np.int64)
