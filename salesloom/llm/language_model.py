@@ -13,7 +13,7 @@ of the same sums. Within a sweep the totals of other words and restaurants are t
 Scale: the state is spread by the hash of (word before, word), so the pairs of a frequent word are on all shards.
 Pairs are counted per task before they are shuffled. After a sweep each shard sends one sum for each of its
 contexts and words to their nodes, and the nodes return the totals; five numbers pass the driver. Texts are written
-down by flush (of 4 MB). A flush's distinct words and then its distinct pairs are looked up, without their
+down by flush (of 6 MB). A flush's distinct words and then its distinct pairs are looked up, without their
 rows, and the answers, as counts without their empty high bytes, meet its texts again. Shards and nodes are as many as the
 bytes of the training texts ask for; each pair of them, and of a flush and a shard, is one row of one batch, so they are
 large. Words and pairs are told apart by 64 bits of hash.
@@ -38,9 +38,9 @@ from salesloom.llm.frames import out, packed, packed_gaps, rows_of, unpacked, un
 from salesloom.llm.words import U64, Batch, mixed, split_words, text_batches, word_hashes
 from salesloom.scratch import discard, extended, materialise
 
-_FLUSH = 750_000  # tokens that are counted together
-_FLUSH_BYTES = 1 << 22  # of texts that are scored together
-_SHARD_BYTES = 1 << 22  # of training text
+_FLUSH = 1_000_000  # tokens that are counted together
+_FLUSH_BYTES = 6 << 20  # of texts that are scored together
+_SHARD_BYTES = 1 << 23  # of training text
 _NODE_BYTES = 1 << 27
 _EXACT = 1024  # customers of a dish whose seatings are summed exactly
 _BEGIN = U64(0x626567)  # the contexts and words that no text has
@@ -158,7 +158,7 @@ def _opened(table: pa.Table) -> pa.Table:
     customers, first = np.add.reduceat(counts[order], new), order[new]
     contexts, context = np.unique(before[first], return_inverse=True)
     vocabulary, word = np.unique(own[first], return_inverse=True)
-    order = np.lexsort((word, context))
+    order = np.argsort(context * len(vocabulary) + word)
     fixed = {"shard": parts[0]["shard"], "contexts": packed_gaps(contexts), "vocabulary": packed_gaps(vocabulary), "customers": packed(customers[order])}
     fixed |= _folded(context[order].astype(np.uint32), word[order].astype(np.uint32))
     fixed |= {"ones": int((customers == 1).sum()), "twos": int((customers == 2).sum())}
